@@ -65,8 +65,13 @@ class GlobalDetector:
 
 
 def report(detector: Any, scored: DataFrame, column: str) -> AnomalyReport:
-    """Keep the rows of a scored frame that lie above the detector's cutoff."""
-    flagged = scored.filter(F.col(SCORE) > F.lit(detector.cutoff))
+    """Keep the rows of a scored frame that lie above the detector's cutoff.
+
+    A null is never flagged; saying so lets the scan skip nulls by itself.
+    """
+    flagged = scored.filter(
+        named(column).isNotNull() & (F.col(SCORE) > F.lit(detector.cutoff))
+    )
     return AnomalyReport(flagged, detector.name, column, detector.cutoff)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from recordlens.functions.names import named
 from recordlens.operators.guards import require_columns
-from recordlens.operators.spread import HEAVY_PARTS, lookup
+from recordlens.operators.spread import SPLIT_ABOVE, lookup
 from recordlens.storage import Workspace
 
 
@@ -89,7 +89,7 @@ def star_forest(edges: DataFrame, work: Workspace) -> DataFrame:
     done = 0
     while not settled:
         turned = _large_star(current, total)
-        if total > HEAVY_PARTS:
+        if total > SPLIT_ABOVE:
             turned = work.keep(turned, f"turned-{done}")
         following = work.keep(_small_star(turned, total), f"edges-{done + 1}")
         total, settled = _state(following)

@@ -29,7 +29,7 @@ def flag_measures(
     id_col: str = "txn_id",
     label_col: str = "is_anomaly",
 ) -> DataFrame:
-    """One row (tp, fp, fn, precision, recall, f1, support) for flagged ids.
+    """One row (n_rows, n_flagged, tp, fp, fn, precision, recall, f1, support).
 
     Both frames go into one aggregation per id, with partial results before its
     only shuffle, instead of a join. Flagged ids that are not in ``truth`` count
@@ -48,36 +48,32 @@ def flag_measures(
         named(id_col).alias("id"),
         (label == 1).cast("bigint").alias("positive"),
         (label == 0).cast("bigint").alias("negative"),
-        F.lit(0).alias("hit"),
+        F.lit(1).cast("bigint").alias("row"),
+        F.lit(0).cast("bigint").alias("hit"),
     )
     found = flagged.select(
         named(id_col).alias("id"),
         F.lit(0).cast("bigint").alias("positive"),
         F.lit(0).cast("bigint").alias("negative"),
-        F.lit(1).alias("hit"),
-    )
-    per_id = (
-        labelled.unionByName(found)
-        .filter(F.col("id").isNotNull() | (F.col("hit") == 0))
-        .groupBy("id")
-        .agg(
-            F.coalesce(F.sum("positive"), F.lit(0)).alias("positive"),
-            F.coalesce(F.sum("negative"), F.lit(0)).alias("negative"),
-            F.max("hit").alias("hit"),
-        )
+        F.lit(0).cast("bigint").alias("row"),
+        F.lit(1).cast("bigint").alias("hit"),
     )
+    sums = {c: F.sum(c).alias(c) for c in ("positive", "negative", "row", "hit")}
+    per_id = labelled.unionByName(found).groupBy("id").agg(*sums.values())
+    # A null id is no id: such a row cannot be flagged.
+    is_hit = (F.col("hit") > 0) & F.col("id").isNotNull()
 
-    def total(count: str, hit: int) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("hit") == hit, F.col(count))), F.lit(0))
+    def total(count: str, among: Column) -> Column:
+        return F.coalesce(F.sum(F.when(among, F.col(count))), F.lit(0))
 
     counts = per_id.agg(
-        total("positive", 1).alias("tp"),
-        total("negative", 1).alias("fp"),
-        total("positive", 0).alias("fn"),
-    )
-    return counts.select(
-        "tp", "fp", "fn", *measures(F.col("tp"), F.col("fp"), F.col("fn"))
+        total("row", F.lit(True)).alias("n_rows"),
+        total("hit", F.lit(True)).alias("n_flagged"),
+        total("positive", is_hit).alias("tp"),
+        total("negative", is_hit).alias("fp"),
+        total("positive", ~is_hit).alias("fn"),
     )
+    return counts.select("*", *measures(F.col("tp"), F.col("fp"), F.col("fn")))
 
 
 def pair_measures(
@@ -87,9 +83,9 @@ def pair_measures(
     id_col: str = "record_id",
     truth_col: str = "true_entity_id",
 ) -> DataFrame:
-    """One row (tp, fp, fn, precision, recall, f1, support) over pairs of records.
+    """One row (n_records, n_entities, tp, fp, fn, precision, recall, f1, support).
 
-    A pair is predicted if both records share an ``entity_id`` and true if they
+    A pair of records is predicted if both records share an ``entity_id`` and true if they
     share ``truth_col``. Pairs are counted in closed form from the group sizes, in
     one job: sizes per (entity, truth) first, the coarser sizes from those. The
     counts are ``decimal(38,0)``. Records without a truth value are left out.
@@ -112,15 +108,22 @@ def pair_measures(
         counted = F.sum(F.when(F.col("level") == level, pair_count(F.col("n"))))
         return F.coalesce(counted, F.lit(0)).cast("decimal(38,0)")
 
+    of_entity = F.when(F.col("level") == 1, F.col("n"))
     counts = groups.agg(
-        pairs(0).alias("both"), pairs(1).alias("predicted"), pairs(2).alias("actual")
+        F.coalesce(F.sum(of_entity), F.lit(0)).alias("n_records"),
+        F.count(of_entity).alias("n_entities"),
+        pairs(0).alias("both"),
+        pairs(1).alias("predicted"),
+        pairs(2).alias("actual"),
     ).select(
+        "n_records",
+        "n_entities",
         F.col("both").alias("tp"),
         (F.col("predicted") - F.col("both")).cast("decimal(38,0)").alias("fp"),
         (F.col("actual") - F.col("both")).cast("decimal(38,0)").alias("fn"),
     )
     return counts.select(
-        "tp", "fp", "fn", *measures(F.col("tp"), F.col("fp"), F.col("fn"))
+        "*", *measures(F.col("tp"), F.col("fp"), F.col("fn"))
     ).withColumn("support", F.col("support").cast("decimal(38,0)"))
 
 

@@ -1,9 +1,9 @@
 """Joins that stay balanced when one key holds a large part of the rows.
 
-Both joins here single out *heavy* keys: those holding more than 1/HEAVY_PARTS
-of the rows. By counting, fewer than HEAVY_PARTS keys can be heavy, whatever the
-data, so a table with one row per heavy key is always small enough to broadcast.
-No other key can bring more than 1/HEAVY_PARTS of the rows into one task.
+A key is *heavy* if it holds more than 1/parts of the rows. By counting, fewer
+than ``parts`` keys can be heavy, whatever the data, so a table with one entry per
+heavy key is always small enough to broadcast. No other key can bring more than
+1/parts of the rows into one task.
 """
 
 from __future__ import annotations
@@ -19,17 +19,16 @@ from recordlens.functions.names import free_name, named
 from recordlens.storage import Workspace
 
 HEAVY_PARTS = 10_000
+# Fewer rows than this fit one task even if they all have the same key.
+SPLIT_ABOVE = 1_000_000
 BROADCAST_BYTES = 8 * 1024 * 1024
+# Allowance per broadcast entry for everything but its keys.
+ENTRY_BYTES = 64
 TILE_ROWS = 4_000
 
 Side = Callable[[str], Column]
 
 
-def _heavy(weight: str, total: int) -> Column:
-    """Whether a key of this weight holds more than 1/HEAVY_PARTS of ``total``."""
-    return named(weight).cast("double") * HEAVY_PARTS > F.lit(float(total))
-
-
 def lookup(
     rows: DataFrame,
     table: DataFrame,
@@ -38,6 +37,7 @@ def lookup(
     weight: str,
     total: int,
     how: str = "inner",
+    parts: int = HEAVY_PARTS,
 ) -> DataFrame:
     """Attach to each row the one entry of ``table`` with the same keys.
 
@@ -49,13 +49,14 @@ def lookup(
         weight: Column of ``table``, dropped from the result like its keys.
         total: At least the sum of ``weight``.
         how: ``inner`` or ``left``.
+        parts: A key with more than 1/parts of the rows is heavy.
     """
     on = reduce(and_, (named(r).eqNullSafe(named(t)) for r, t in keys.items()))
     extra = [*keys.values(), weight]
-    if total <= HEAVY_PARTS:
+    if total <= SPLIT_ABOVE:
         return rows.join(table, on, how).drop(*extra)
-    heavy = F.broadcast(table.filter(_heavy(weight, total)))
-    light = table.filter(~_heavy(weight, total))
+    is_heavy = named(weight) > F.lit(total // parts)
+    heavy, light = F.broadcast(table.filter(is_heavy)), table.filter(~is_heavy)
     settled = rows.join(heavy, on).drop(*extra)
     others = rows.join(heavy, on, "left_anti").join(light, on, how).drop(*extra)
     return settled.unionByName(others)
@@ -73,7 +74,8 @@ def lookup_measured(
 
     Up to BROADCAST_BYTES the whole table is broadcast and ``rows`` is not
     shuffled at all. Beyond that ``rows`` is shuffled, after taking out the heavy
-    keys if there are any.
+    keys if there are any; how many keys can be heavy follows from the widest key,
+    so that the broadcast entries stay within BROADCAST_BYTES too.
     """
     width = reduce(
         add,
@@ -85,15 +87,20 @@ def lookup_measured(
     size = table.agg(
         F.count(F.lit(1)).alias("entries"),
         F.coalesce(F.sum(width), F.lit(0)).alias("key_bytes"),
+        F.coalesce(F.max(width), F.lit(0)).alias("widest"),
         F.coalesce(F.sum(named(weight)), F.lit(0)).alias("total"),
         F.coalesce(F.max(named(weight)), F.lit(0)).alias("heaviest"),
     ).first()
     on = reduce(and_, (named(r).eqNullSafe(named(t)) for r, t in keys.items()))
-    if size["key_bytes"] + 64 * size["entries"] <= BROADCAST_BYTES:
+    if size["key_bytes"] + ENTRY_BYTES * size["entries"] <= BROADCAST_BYTES:
         return rows.join(F.broadcast(table), on, how).drop(*keys.values(), weight)
-    if size["heaviest"] * HEAVY_PARTS <= size["total"]:
+    parts = BROADCAST_BYTES // (size["widest"] + ENTRY_BYTES)
+    parts = min(max(parts, 1), HEAVY_PARTS)
+    if size["heaviest"] <= size["total"] // parts:
         return rows.join(table, on, how).drop(*keys.values(), weight)
-    return lookup(rows, table, keys, weight=weight, total=size["total"], how=how)
+    return lookup(
+        rows, table, keys, weight=weight, total=size["total"], how=how, parts=parts
+    )
 
 
 def pairs_within(

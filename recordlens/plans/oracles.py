@@ -185,7 +185,7 @@ def _iqr(table: str, x: str, columns: str, k: float) -> str:
     SELECT {columns}, round(score, 6) AS anomaly_score FROM z WHERE score > 0"""
 
 
-def _measures(tp: str, fp: str, fn: str, kind: str, source: str) -> str:
+def _measures(tp: str, fp: str, fn: str, kind: str, source: str, sizes: str) -> str:
     return f"""
     counts AS (SELECT {tp} AS tp, {fp} AS fp, {fn} AS fn FROM {source}),
     ratios AS (
@@ -194,7 +194,7 @@ def _measures(tp: str, fp: str, fn: str, kind: str, source: str) -> str:
              CASE WHEN tp + fn = 0 THEN {_num(0)} ELSE tp::DOUBLE / (tp + fn)::DOUBLE END AS r
       FROM counts),
     quality AS (
-      SELECT tp::{kind} AS tp, fp::{kind} AS fp, fn::{kind} AS fn,
+      SELECT {sizes}, tp::{kind} AS tp, fp::{kind} AS fp, fn::{kind} AS fn,
              round(p, 6) AS precision, round(r, 6) AS recall,
              round(CASE WHEN p + r = 0 THEN {_num(0)} ELSE 2 * p * r / (p + r) END, 6) AS f1,
              (tp + fn)::{kind} AS support
@@ -212,6 +212,7 @@ def _flag_quality(truth: str, label: str, key: str, flagged: str) -> str:
         "count(*) FILTER (NOT hit AND label = 1)",
         "BIGINT",
         "judged",
+        f"(SELECT count(*) FROM {truth}) AS n_rows, (SELECT count(*) FROM ({flagged})) AS n_flagged",
     )
 
 
@@ -254,7 +255,13 @@ def _pair_quality() -> str:
     )
     return """
     labelled AS (SELECT * FROM clusters JOIN customers USING (record_id)),""" + _measures(
-        both, f"{predicted} - {both}", f"{actual} - {both}", "DECIMAL(38,0)", "(SELECT 1)"
+        both,
+        f"{predicted} - {both}",
+        f"{actual} - {both}",
+        "DECIMAL(38,0)",
+        "(SELECT 1)",
+        "(SELECT count(*) FROM labelled) AS n_records,"
+        " (SELECT count(DISTINCT entity_id) FROM labelled) AS n_entities",
     )
 
 

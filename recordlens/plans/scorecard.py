@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recordlens.operators.anomaly import GaussianDetector, ZScoreDetector
@@ -43,36 +44,25 @@ def scorecard(transactions: DataFrame, customers: DataFrame) -> DataFrame:
 
     ``n_out`` counts flagged rows for the detectors and entities for the resolver.
     """
-    reports = {
-        "zscore": ZScoreDetector().detect(transactions, "amount"),
-        "gaussian": GaussianDetector("customer_id").detect(transactions, "amount"),
+    flagged = {
+        "zscore": ZScoreDetector().detect(transactions, "amount").flagged,
+        "gaussian": GaussianDetector("customer_id").detect(transactions, "amount").flagged,
     }
     rows = [
-        _row(name, transactions, r.flagged, F.count(F.lit(1)), flag_measures(transactions, r.flagged))
-        for name, r in reports.items()
+        _row(name, flag_measures(transactions, rows), "n_rows", "n_flagged")
+        for name, rows in flagged.items()
     ]
     clusters = ResolutionPipeline().resolve(customers).clusters
-    rows.append(
-        _row(
-            "resolution",
-            customers,
-            clusters,
-            F.count_distinct("entity_id"),
-            pair_measures(clusters, customers),
-        )
-    )
-    first, second, third = rows
-    return first.unionByName(second).unionByName(third)
+    quality = pair_measures(clusters, customers)
+    rows.append(_row("resolution", quality, "n_records", "n_entities"))
+    return reduce(DataFrame.unionByName, rows)
 
 
-def _row(
-    capability: str, given: DataFrame, found: DataFrame, n_out: Column, quality: DataFrame
-) -> DataFrame:
-    """The quality measures together with the sizes, each a one-row subquery."""
+def _row(capability: str, quality: DataFrame, n_in: str, n_out: str) -> DataFrame:
     return quality.select(
         F.lit(capability).alias("capability"),
-        given.agg(F.count(F.lit(1))).scalar().alias("n_in"),
-        found.agg(n_out).scalar().alias("n_out"),
+        F.col(n_in).alias("n_in"),
+        F.col(n_out).alias("n_out"),
         "precision",
         "recall",
         "f1",

@@ -12,15 +12,22 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# A digest gives two words of 15 hex digits, and a word three draws of 20 bits.
+WORD_DIGITS = 15
+DRAW_BITS = 20
+
+
 def uniforms(salt: str, *keys: Column, count: int) -> list[Column]:
-    """``count`` draws from [0, 1), four from each MD5 of ``salt|block|keys``."""
+    """``count`` draws from [0, 1), six from each MD5 of ``salt|number|keys``."""
     draws = []
     for i in range(count):
         digest = F.md5(
-            F.concat_ws("|", F.lit(f"{salt}|{i // 4}"), *(k.cast("string") for k in keys))
+            F.concat_ws("|", F.lit(f"{salt}|{i // 6}"), *(k.cast("string") for k in keys))
         )
-        word = F.conv(F.substring(digest, 1 + 8 * (i % 4), 8), 16, 10).cast("double")
-        draws.append(word / F.lit(4294967296.0))
+        start = 1 + WORD_DIGITS * (i // 3 % 2)
+        word = F.conv(F.substring(digest, start, WORD_DIGITS), 16, 10).cast("bigint")
+        bits = F.shiftright(word, DRAW_BITS * (i % 3)).bitwiseAND(F.lit(2**DRAW_BITS - 1))
+        draws.append(bits / F.lit(float(2**DRAW_BITS)))
     return draws
 
 

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FractionalType
+
+from recordlens.functions.names import named
 
 INFINITY = float("inf")
 
 
-def finite(x: Column) -> Column:
-    """``x`` as a double, with NaN and the infinities turned into null.
+def finite(df: DataFrame, column: str) -> Column:
+    """``column`` as a double, with NaN and the infinities turned into null.
 
     Spark orders NaN above every number, so one comparison drops all three. A
     single NaN would otherwise make the mean NaN and flag every other row.
     """
-    value = x.cast("double")
+    value = named(column).cast("double")
+    if not isinstance(df.schema[column].dataType, FractionalType):
+        return value
     return F.when(F.abs(value) < F.lit(INFINITY), value)
 
 
@@ -25,9 +30,7 @@ def z_score(x: Column, mean: Column, spread: Column) -> Column:
     infinite when the squares overflow. A null ``x`` has a null score.
     """
     usable = (spread > 0) & (spread < F.lit(INFINITY))
-    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
-        F.when(usable, F.abs((x - mean) / spread)).otherwise(F.lit(0.0))
-    )
+    return F.when(usable, F.abs((x - mean) / spread)).otherwise(F.abs(x * 0))
 
 
 def fence_score(x: Column, q1: Column, q3: Column, multiplier: float) -> Column:
@@ -37,10 +40,8 @@ def fence_score(x: Column, q1: Column, q3: Column, multiplier: float) -> Column:
     beyond = F.greatest(
         F.lit(0.0), ((q1 - reach) - x) / width, (x - (q3 + reach)) / width
     )
-    usable = (width > 0) & (width < F.lit(INFINITY))
-    return F.when(x.isNull(), F.lit(None).cast("double")).otherwise(
-        F.when(usable, beyond).otherwise(F.lit(0.0))
-    )
+    usable = (width > 0) & (width < F.lit(INFINITY)) & x.isNotNull()
+    return F.when(usable, beyond).otherwise(F.abs(x * 0))
 
 
 def ratio(part: Column, whole: Column) -> Column:

@@ -56,7 +56,7 @@ class GlobalDetector:
     def score(self, df: DataFrame, column: str) -> DataFrame:
         """``df`` with the ``anomaly_score`` of every row."""
         require_numeric(df, column)
-        x = finite(named(column))
+        x = finite(df, column)
         return df.withColumn(SCORE, self.deviation(x, self.summarise(df, x)))
 
     def detect(self, df: DataFrame, column: str) -> AnomalyReport:
@@ -156,7 +156,7 @@ class GaussianDetector:
         require_numeric(df, column)
         require_columns(df, [self.group_col])
         group, stats, size = (free_name(df, c) for c in ("group", "stats", "size"))
-        x = finite(named(column))
+        x = finite(df, column)
         groups = df.groupBy(named(self.group_col).alias(group)).agg(
             mean_and_spread(x).alias(stats), F.count(F.lit(1)).alias(size)
         )

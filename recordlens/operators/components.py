@@ -9,6 +9,9 @@ table, so the lineage stays one round long.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +20,49 @@ from recordlens.operators.guards import require_columns
 from recordlens.operators.spread import SPLIT_ABOVE, lookup
 from recordlens.storage import Workspace
 
+# How many nodes a task remembers before it hands on its stars and starts afresh.
+NODES_IN_MEMORY = 250_000
+
+
+def _shrink(edges: DataFrame) -> DataFrame:
+    """Each task's edges as stars (low, high) with the same components.
+
+    No built-in function merges sets, so the tasks run a small union-find over
+    Arrow batches. What one task already knows to be connected is neither shuffled
+    nor looked at again in later rounds: a task hands on at most one edge per node.
+    """
+    limit = NODES_IN_MEMORY
+
+    # Everything the tasks call is defined in here, so that they need no package.
+    def smallest(parent: dict, node):
+        above = parent.setdefault(node, node)
+        while above != node:
+            parent[node] = parent[above]
+            node, above = above, parent[above]
+        return node
+
+    def stars(parent: dict, schema: pa.Schema) -> pa.RecordBatch:
+        linked = [(smallest(parent, node), node) for node in parent]
+        columns = zip(*((low, high) for low, high in linked if low != high))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
+        )
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parent: dict = {}
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                a, b = smallest(parent, a), smallest(parent, b)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+            if len(parent) > limit:
+                yield stars(parent, batch.schema)
+                parent = {}
+        if parent:
+            yield stars(parent, batch.schema)
+
+    return edges.mapInArrow(merge, edges.schema)
+
 
 def _ends(edges: DataFrame) -> DataFrame:
     """Each edge seen from both ends: node, other and whether the node is the lower end."""
@@ -79,12 +125,10 @@ def star_forest(edges: DataFrame, work: Workspace) -> DataFrame:
         work: Where the rounds are written.
     """
     first, second = (named(c) for c in edges.columns)
-    current = work.keep(
-        edges.filter(first != second)
-        .select(F.least(first, second).alias("low"), F.greatest(first, second).alias("high"))
-        .distinct(),
-        "edges-0",
+    ordered = edges.filter(first != second).select(
+        F.least(first, second).alias("low"), F.greatest(first, second).alias("high")
     )
+    current = work.keep(_shrink(ordered).distinct(), "edges-0")
     total, settled = _state(current)
     done = 0
     while not settled:

@@ -16,6 +16,7 @@ from recordlens.plans.detection import DetectionPipeline, detect_anomalies, flag
 from recordlens.plans.resolution import ResolutionPipeline, resolve_entities
 from recordlens.plans.scorecard import scorecard
 from recordlens.sources import labelled_transactions, plant_duplicates
+from recordlens.storage import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -40,6 +41,11 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plant_duplicates(customer.select(F.col("c_custkey").alias("entity_id")))
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """Planted rows that several passes read, made once."""
+    return Workspace(df.sparkSession, "planted").keep(df, name)
+
+
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     """Doubles to six digits, past which engines may add up differently."""
     return df.withColumns({c: F.round(c, 6) for c in columns})
@@ -124,7 +130,7 @@ def labelled_transactions_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flag_quality(spark: SparkSession, sf_dir: str, method: str, **options) -> DataFrame:
-    transactions = _transactions(spark, sf_dir)
+    transactions = _written(_transactions(spark, sf_dir), "transactions")
     report = detect_anomalies(transactions, "amount", method=method, **options)
     return _rounded(flag_measures(transactions, report.flagged), "precision", "recall", "f1")
 
@@ -209,13 +215,16 @@ def components_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairwise_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = _customers(spark, sf_dir)
+    customers = _written(_customers(spark, sf_dir), "customers")
     quality = pair_measures(resolve_entities(customers).clusters, customers)
     return _rounded(quality, "precision", "recall", "f1")
 
 
 def scorecard_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    card = scorecard(_transactions(spark, sf_dir), _customers(spark, sf_dir))
+    card = scorecard(
+        _written(_transactions(spark, sf_dir), "transactions"),
+        _written(_customers(spark, sf_dir), "customers"),
+    )
     return _rounded(card, "precision", "recall", "f1")
 
 

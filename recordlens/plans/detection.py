@@ -10,7 +10,6 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordlens.functions.names import named
 from recordlens.functions.numeric import finite
 from recordlens.operators.anomaly import (
     SCORE,
@@ -73,7 +72,7 @@ class DetectionPipeline:
     def run(self, df: DataFrame, column: str) -> dict[str, AnomalyReport]:
         """One report per detector name."""
         require_numeric(df, column)
-        x = finite(named(column))
+        x = finite(df, column)
         summaries = self._summaries(df, x)
         reports = {}
         for name, detector in self._by_name.items():

@@ -6,6 +6,7 @@ self-join of each block and components are closed by a recursive query.
 
 from __future__ import annotations
 
+from recordlens.functions.draws import DRAW_BITS, WORD_DIGITS
 from recordlens.operators.matching import DEFAULT_WEIGHTS
 from recordlens.plans.catalogue import CHAIN, CUSTOM_THRESHOLD, CUSTOM_WEIGHTS
 from recordlens.sources.planted import CITIES, COPY_SLOTS, FIRST_NAMES, LAST_NAMES
@@ -16,9 +17,10 @@ def _num(x: float) -> str:
 
 
 def _draw(salt: str, i: int, *keys: str) -> str:
-    text = " || '|' || ".join([f"'{salt}|{i // 4}'", *(f"({k})::VARCHAR" for k in keys)])
-    word = f"('0x' || substr(md5({text}), {1 + 8 * (i % 4)}, 8))::BIGINT::DOUBLE"
-    return f"({word} / {_num(2**32)})"
+    text = " || '|' || ".join([f"'{salt}|{i // 6}'", *(f"({k})::VARCHAR" for k in keys)])
+    word = f"('0x' || substr(md5({text}), {1 + WORD_DIGITS * (i // 3 % 2)}, {WORD_DIGITS}))::BIGINT"
+    bits = f"(({word} >> {DRAW_BITS * (i % 3)}) & {2**DRAW_BITS - 1})"
+    return f"({bits}::DOUBLE / {_num(2**DRAW_BITS)})"
 
 
 def _whole(draw: str, low: int, high: int) -> str:

@@ -11,7 +11,7 @@ from recordlens.functions.names import free_name, named
 from recordlens.functions.numeric import fence_score, finite, z_score
 from recordlens.operators.guards import require_columns, require_numeric
 from recordlens.operators.quantiles import exact_quantiles
-from recordlens.operators.spread import lookup_measured
+from recordlens.operators.spread import lookup
 from recordlens.reports import AnomalyReport
 from recordlens.storage import Workspace
 
@@ -161,7 +161,7 @@ class GaussianDetector:
             mean_and_spread(x).alias(stats), F.count(F.lit(1)).alias(size)
         )
         groups = Workspace(df.sparkSession, "groups").keep(groups, "stats")
-        with_stats = lookup_measured(df, groups, {self.group_col: group}, weight=size)
+        with_stats = lookup(df, groups, {self.group_col: group}, weight=size)
         summary = named(stats)
         return with_stats.select(
             *(named(c) for c in df.columns if c != SCORE),

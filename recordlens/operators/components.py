@@ -17,11 +17,13 @@ from pyspark.sql import functions as F
 
 from recordlens.functions.names import named
 from recordlens.operators.guards import require_columns
-from recordlens.operators.spread import SPLIT_ABOVE, lookup
+from recordlens.operators.spread import lookup
 from recordlens.storage import Workspace
 
 # How many nodes a task remembers before it hands on its stars and starts afresh.
 NODES_IN_MEMORY = 250_000
+# With fewer edges one task could take all of them, so hubs need no care.
+LARGE_GRAPH = 1_000_000
 
 
 def _shrink(edges: DataFrame) -> DataFrame:
@@ -72,25 +74,38 @@ def _ends(edges: DataFrame) -> DataFrame:
     )
 
 
-def _large_star(edges: DataFrame, total: int) -> DataFrame:
+def _attach(
+    edges: DataFrame, per_node: DataFrame, end: str, work: Workspace | None, name: str
+) -> DataFrame:
+    """Each edge with what ``per_node`` says of its ``end``.
+
+    Given a workspace, the graph is large: then the table is written and measured,
+    so that a hub's edges are not all shuffled into one task.
+    """
+    if work is None:
+        return edges.join(per_node, F.col(end) == F.col("node")).drop("node", "degree")
+    return lookup(edges, work.keep(per_node, name), {end: "node"}, weight="degree")
+
+
+def _large_star(edges: DataFrame, work: Workspace | None) -> DataFrame:
     """Link the higher end of each edge to the smallest neighbour of its lower end."""
     nearest = (
         _ends(edges)
         .groupBy("node")
-        .agg(F.expr("min(other) AS nearest"), F.expr("count(1) AS degree"))
+        .agg(F.expr("min(other) AS nearest"), F.expr("count_if(lower) AS degree"))
     )
-    return lookup(edges, nearest, {"low": "node"}, weight="degree", total=2 * total).selectExpr(
+    return _attach(edges, nearest, "low", work, "nearest").selectExpr(
         "least(low, nearest) AS low", "high"
     )
 
 
-def _small_star(edges: DataFrame, total: int) -> DataFrame:
+def _small_star(edges: DataFrame, work: Workspace | None) -> DataFrame:
     """Link each node and its lower neighbours to the smallest of them."""
     smallest = edges.groupBy(F.expr("high AS node")).agg(
         F.expr("min(low) AS root"), F.expr("count(1) AS degree")
     )
     return (
-        lookup(edges, smallest, {"high": "node"}, weight="degree", total=total)
+        _attach(edges, smallest, "high", work, "smallest")
         .selectExpr(
             "inline(array(struct(root AS low, high AS high), struct(root AS low, low AS high)))"
         )
@@ -132,13 +147,13 @@ def star_forest(edges: DataFrame, work: Workspace) -> DataFrame:
     total, settled = _state(current)
     done = 0
     while not settled:
-        turned = _large_star(current, total)
-        if total > SPLIT_ABOVE:
-            turned = work.keep(turned, f"turned-{done}")
-        following = work.keep(_small_star(turned, total), f"edges-{done + 1}")
+        large = work if total > LARGE_GRAPH else None
+        turned = _large_star(current, large)
+        if large:
+            turned = work.keep(turned, "turned")
+        following = work.keep(_small_star(turned, large), f"edges-{done + 1}")
         total, settled = _state(following)
-        for spent in (f"edges-{done}", f"turned-{done}"):
-            work.forget(spent)
+        work.forget(f"edges-{done}", "nearest", "turned", "smallest")
         current, done = following, done + 1
     return current
 

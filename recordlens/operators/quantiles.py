@@ -4,14 +4,57 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 IN_MEMORY_VALUES = 1_000_000
-# Splitters are asked for at these distances from the wanted share of the bracket.
-DISTANCES = (0.0, 0.001, 0.002, 0.01, 0.05, 0.25)
-ACCURACY = 2_000
+ACCURACY = 10_000
+# Splitters are asked for at these distances from the wanted share of a bracket.
+DISTANCES = (0.0, 0.0002, 0.0004, 0.002, 0.01, 0.1)
+
+
+@dataclass
+class _Bracket:
+    """The ``count`` values above ``under`` up to ``high``, one with the wanted rank."""
+
+    rank: int
+    count: int
+    under: float | None = None
+    high: float | None = None
+    answer: float | None = None
+
+    def inside(self) -> Column:
+        """Whether x lies in the bracket."""
+        inside = F.lit(True)
+        if self.under is not None:
+            inside = inside & (F.col("x") > F.lit(self.under))
+        if self.high is not None:
+            inside = inside & (F.col("x") <= F.lit(self.high))
+        return inside
+
+    def values(self) -> Column:
+        """x where it lies in the bracket, else null."""
+        return F.when(self.inside(), F.col("x"))
+
+    def splitters(self) -> Column:
+        """Aggregate: approximate values around the wanted rank."""
+        share = self.rank / self.count
+        near = {min(max(share + s * d, 0.0), 1.0) for d in DISTANCES for s in (-1, 1)}
+        return F.percentile_approx(self.values(), sorted(near), ACCURACY)
+
+    def narrow(self, splitters: list[float], upto: list[int]) -> None:
+        """Go on between the two splitters that enclose the rank.
+
+        ``upto`` counts the bracket's values at or below each splitter.
+        """
+        steps = [(self.under, 0), *zip(splitters, upto), (self.high, self.count)]
+        at = next(i for i, (_, n) in enumerate(steps) if n >= self.rank)
+        (self.under, skipped), (self.high, reached) = steps[at - 1], steps[at]
+        self.rank, self.count = self.rank - skipped, reached - skipped
 
 
 def exact_quantiles(
@@ -24,11 +67,11 @@ def exact_quantiles(
     """For each share p the smallest value of ``x`` that a share p does not exceed.
 
     Spark's own exact percentile holds every distinct value in one task. Here each
-    round asks for approximate splitters around the wanted rank, counts exactly
-    how many values lie at or below each of them, and goes on inside the bracket
-    that holds the rank, until that is a single value or at most ``in_memory``
-    values. Only a few numbers per round reach the driver, and the answer is exact
-    however good the splitters are.
+    round asks for approximate splitters around the wanted ranks, counts exactly
+    how many values lie at or below each of them, and goes on inside the brackets
+    that hold the ranks, until those are single values or at most ``in_memory``
+    values. All shares go through the same jobs, two per round. Only a few numbers
+    reach the driver, and the answers are exact however good the splitters are.
 
     Args:
         df: Input rows.
@@ -40,40 +83,52 @@ def exact_quantiles(
         One value per share, all ``None`` if ``x`` has no values.
     """
     values = df.select(x.cast("double").alias("x")).filter(F.col("x").isNotNull())
-    n, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    n = values.count()
     if n == 0:
         return [None] * len(probabilities)
-    ranks = [min(max(math.ceil(p * n), 1), n) for p in probabilities]
-    if n <= in_memory:
-        return list(values.agg(*(_value_at(rank, n) for rank in ranks)).first())
-    return [_narrow(values, rank, n, low, high, in_memory) for rank in ranks]
-
-
-def _value_at(rank: int, count: int) -> Column:
-    """Aggregate: the value with this rank (from 1) among ``count`` values of x."""
-    share = (rank - 0.5) / count
-    return F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY x)")
-
-
-def _narrow(
-    values: DataFrame, rank: int, count: int, low: float, high: float, in_memory: int
-) -> float:
-    """The value with ``rank`` among the ``count`` values from ``low`` to ``high``."""
-    inside = values
-    while count > in_memory and low < high:
-        share = rank / count
-        shares = sorted(
-            {min(max(share + sign * d, 0.0), 1.0) for d in DISTANCES for sign in (-1, 1)}
+    brackets = [_Bracket(min(max(math.ceil(p * n), 1), n), n) for p in probabilities]
+
+    def ask(about: list[_Bracket], *aggregates: Column):
+        within = reduce(or_, (b.inside() for b in about))
+        return values.filter(within).agg(*aggregates).first()
+
+    while wide := [b for b in brackets if b.answer is None and b.count > in_memory]:
+        found = ask(
+            wide,
+            *(
+                F.struct(F.min(b.values()), F.max(b.values()), b.splitters())
+                for b in wide
+            ),
         )
-        splitters = inside.agg(F.percentile_approx("x", shares, ACCURACY)).first()[0]
-        splitters = sorted({low, *(s for s in splitters if s < high)})
-        counts = inside.agg(*(F.count_if(F.col("x") <= F.lit(s)) for s in splitters)).first()
-        steps = [*zip(splitters, counts), (high, count)]
-        at = next(i for i, (_, upto) in enumerate(steps) if upto >= rank)
-        if at == 0:
-            return low
-        (under, skipped), (high, upto) = steps[at - 1], steps[at]
-        inside = values.filter((F.col("x") > F.lit(under)) & (F.col("x") <= F.lit(high)))
-        rank, count = rank - skipped, upto - skipped
-        low = inside.agg(F.min("x")).first()[0]
-    return low if low == high else inside.agg(_value_at(rank, count)).first()[0]
+        pending = []
+        for bracket, (low, high, splitters) in zip(wide, found):
+            if low == high:
+                bracket.answer = low
+            else:
+                pending.append((bracket, sorted({low, *(s for s in splitters if s < high)})))
+        if pending:
+            counted = ask(
+                [b for b, _ in pending],
+                *(F.array(*(F.count_if(b.values() <= s) for s in splits)) for b, splits in pending),
+            )
+            for (bracket, splits), upto in zip(pending, counted):
+                bracket.narrow(splits, upto)
+
+    small = [b for b in brackets if b.answer is None]
+    if small:
+        columns = {f"v{i}": b for i, b in enumerate(small)}
+        found = (
+            values.filter(reduce(or_, (b.inside() for b in small)))
+            .select(*(b.values().alias(c) for c, b in columns.items()))
+            .agg(*(_value_at(c, b) for c, b in columns.items()))
+            .first()
+        )
+        for bracket, answer in zip(small, found):
+            bracket.answer = answer
+    return [b.answer for b in brackets]
+
+
+def _value_at(column: str, bracket: _Bracket) -> Column:
+    """Aggregate: the value with the bracket's rank among all values of ``column``."""
+    share = (bracket.rank - 0.5) / bracket.count
+    return F.expr(f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY {column})")

@@ -19,8 +19,6 @@ from recordlens.functions.names import free_name, named
 from recordlens.storage import Workspace
 
 HEAVY_PARTS = 10_000
-# Fewer rows than this fit one task even if they all have the same key.
-SPLIT_ABOVE = 1_000_000
 BROADCAST_BYTES = 8 * 1024 * 1024
 # Allowance per broadcast entry for everything but its keys.
 ENTRY_BYTES = 64
@@ -35,11 +33,14 @@ def lookup(
     keys: dict[str, str],
     *,
     weight: str,
-    total: int,
     how: str = "inner",
-    parts: int = HEAVY_PARTS,
 ) -> DataFrame:
-    """Attach to each row the one entry of ``table`` with the same keys.
+    """Attach to each row the one entry of a written ``table`` with the same keys.
+
+    The table is measured first. Up to BROADCAST_BYTES all of it is broadcast and
+    ``rows`` is not shuffled. Beyond that ``rows`` is shuffled, after taking out the
+    heavy keys if there are any; how many keys can be heavy follows from the widest
+    key, so that the broadcast entries stay within BROADCAST_BYTES too.
 
     Args:
         rows: The large side; any key may hold any share of it.
@@ -47,62 +48,37 @@ def lookup(
         keys: Key column of ``rows`` to key column of ``table``; null equals null.
             The columns of ``table`` have names of their own.
         weight: Column of ``table``, dropped from the result like its keys.
-        total: At least the sum of ``weight``.
         how: ``inner`` or ``left``.
-        parts: A key with more than 1/parts of the rows is heavy.
     """
+    widths = (F.coalesce(F.octet_length(named(t).cast("string")), F.lit(0)) for t in keys.values())
+    width = reduce(add, widths)
+    size = table.agg(
+        F.count(F.lit(1)).alias("entries"),
+        *(
+            F.coalesce(measure, F.lit(0)).alias(name)
+            for name, measure in {
+                "key_bytes": F.sum(width),
+                "widest": F.max(width),
+                "total": F.sum(named(weight)),
+                "heaviest": F.max(named(weight)),
+            }.items()
+        ),
+    ).first()
     on = reduce(and_, (named(r).eqNullSafe(named(t)) for r, t in keys.items()))
     extra = [*keys.values(), weight]
-    if total <= SPLIT_ABOVE:
+    if size["key_bytes"] + ENTRY_BYTES * size["entries"] <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table), on, how).drop(*extra)
+    parts = min(max(BROADCAST_BYTES // (size["widest"] + ENTRY_BYTES), 1), HEAVY_PARTS)
+    limit = size["total"] // parts
+    if size["heaviest"] <= limit:
         return rows.join(table, on, how).drop(*extra)
-    is_heavy = named(weight) > F.lit(total // parts)
-    heavy, light = F.broadcast(table.filter(is_heavy)), table.filter(~is_heavy)
+    heavy = F.broadcast(table.filter(named(weight) > limit))
+    light = table.filter(named(weight) <= limit)
     settled = rows.join(heavy, on).drop(*extra)
     others = rows.join(heavy, on, "left_anti").join(light, on, how).drop(*extra)
     return settled.unionByName(others)
 
 
-def lookup_measured(
-    rows: DataFrame,
-    table: DataFrame,
-    keys: dict[str, str],
-    *,
-    weight: str,
-    how: str = "inner",
-) -> DataFrame:
-    """:func:`lookup` in a written ``table`` that is measured first.
-
-    Up to BROADCAST_BYTES the whole table is broadcast and ``rows`` is not
-    shuffled at all. Beyond that ``rows`` is shuffled, after taking out the heavy
-    keys if there are any; how many keys can be heavy follows from the widest key,
-    so that the broadcast entries stay within BROADCAST_BYTES too.
-    """
-    width = reduce(
-        add,
-        (
-            F.coalesce(F.octet_length(named(t).cast("string")), F.lit(0))
-            for t in keys.values()
-        ),
-    )
-    size = table.agg(
-        F.count(F.lit(1)).alias("entries"),
-        F.coalesce(F.sum(width), F.lit(0)).alias("key_bytes"),
-        F.coalesce(F.max(width), F.lit(0)).alias("widest"),
-        F.coalesce(F.sum(named(weight)), F.lit(0)).alias("total"),
-        F.coalesce(F.max(named(weight)), F.lit(0)).alias("heaviest"),
-    ).first()
-    on = reduce(and_, (named(r).eqNullSafe(named(t)) for r, t in keys.items()))
-    if size["key_bytes"] + ENTRY_BYTES * size["entries"] <= BROADCAST_BYTES:
-        return rows.join(F.broadcast(table), on, how).drop(*keys.values(), weight)
-    parts = BROADCAST_BYTES // (size["widest"] + ENTRY_BYTES)
-    parts = min(max(parts, 1), HEAVY_PARTS)
-    if size["heaviest"] <= size["total"] // parts:
-        return rows.join(table, on, how).drop(*keys.values(), weight)
-    return lookup(
-        rows, table, keys, weight=weight, total=size["total"], how=how, parts=parts
-    )
-
-
 def pairs_within(
     rows: DataFrame,
     keys: Sequence[str],
@@ -160,7 +136,7 @@ def pairs_within(
         sizes.withColumn(slices, F.ceil(named(size) / TILE_ROWS)), "sizes"
     )
     sliced = (
-        lookup_measured(rows, sizes, large, weight=size, how="left")
+        lookup(rows, sizes, large, weight=size, how="left")
         .withColumn(slices, F.coalesce(named(slices), F.lit(1).cast("bigint")))
         .withColumn(mine, F.pmod(F.xxhash64(named(order)), named(slices)))
         .withColumn(met, F.explode(F.sequence(F.lit(0).cast("bigint"), named(slices) - 1)))

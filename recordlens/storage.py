@@ -36,18 +36,24 @@ class Workspace:
     def __init__(self, spark: SparkSession, purpose: str) -> None:
         self.spark = spark
         self.folder = f"{shared_folder(spark)}/recordlens/{purpose}-{uuid.uuid4().hex}"
-
-    def _path(self, name: str) -> str:
-        return f"{self.folder}/{name}"
+        self.names: set[str] = set()
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return the written table."""
-        df.write.mode("overwrite").parquet(self._path(name))
-        return self.spark.read.schema(df.schema).parquet(self._path(name))
+        path = f"{self.folder}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        self.names.add(name)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-    def forget(self, name: str) -> None:
-        """Remove a table that nothing reads any more."""
+    def forget(self, *names: str) -> None:
+        """Remove tables that nothing reads any more; those never kept are skipped."""
         jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self._path(name))
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path.getFileSystem(conf).delete(path, True)
+        for name in self.names.intersection(names):
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+            path.getFileSystem(conf).delete(path, True)
+            self.names.remove(name)
+
+    def forget_all_but(self, *names: str) -> None:
+        """Remove every table but these."""
+        self.forget(*self.names.difference(names))

@@ -36,12 +36,19 @@ def test_repeated_records_stay(spark):
     assert rows == [(1, 1), (1, 1), (2, 1)]
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_random_graphs_with_hubs_and_paths(spark, monkeypatch, split):
-    if split:
-        monkeypatch.setattr(spread, "SPLIT_ABOVE", 0)
-        monkeypatch.setattr(components, "SPLIT_ABOVE", 0)
-        monkeypatch.setattr(spread.lookup, "__kwdefaults__", {**spread.lookup.__kwdefaults__, "parts": 20})
+@pytest.fixture
+def small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("broadcast_bytes", [None, 2**23, 2000])
+def test_random_graphs_with_hubs_and_paths(spark, monkeypatch, small_batches, broadcast_bytes):
+    monkeypatch.setattr(components, "NODES_IN_MEMORY", 5)
+    if broadcast_bytes is not None:
+        monkeypatch.setattr(components, "LARGE_GRAPH", 0)
+        monkeypatch.setattr(spread, "BROADCAST_BYTES", broadcast_bytes)
     rng = random.Random(5)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(150)]
     edges += [(1000, 1001 + i) for i in range(80)] + [(2999, 2000 + i) for i in range(80)]
@@ -50,3 +57,10 @@ def test_random_graphs_with_hubs_and_paths(spark, monkeypatch, split):
     edges += list(zip(path, path[1:]))
     nodes = [*range(400), *range(1000, 1090), *range(2000, 3000), *range(4000, 4060)]
     assert run(spark, nodes, edges) == expected(nodes, edges)
+
+
+def test_tasks_shrink_their_edges(spark):
+    edges = spark.range(1000).selectExpr("id AS low", "id + 1 AS high").coalesce(2)
+    stars = components._shrink(edges).collect()
+    assert sorted(r["high"] for r in stars) == list(range(1, 1001))
+    assert {r["low"] for r in stars} == {0, 500}

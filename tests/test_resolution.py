@@ -12,7 +12,7 @@ from recordlens import (
     connected_components,
     resolve_entities,
 )
-from recordlens.operators import spread
+from recordlens.operators import components, spread
 from recordlens.sources import SyntheticCustomers
 from tests import brute
 
@@ -73,8 +73,9 @@ def test_entities_are_components_of_all_matching_pairs(spark, records, weights,
 
 
 def test_entities_with_every_join_split(spark, records, monkeypatch):
-    monkeypatch.setattr(spread, "SPLIT_ABOVE", 0)
     monkeypatch.setattr(spread, "BROADCAST_BYTES", 800)
+    monkeypatch.setattr(components, "LARGE_GRAPH", 0)
+    monkeypatch.setattr(components, "NODES_IN_MEMORY", 0)
     monkeypatch.setattr(spread, "TILE_ROWS", 3)
     pipeline = ResolutionPipeline(MatchScorer(threshold=0.45), blank_emails=False)
     found = pipeline.resolve(frame(spark, records)).clusters.collect()

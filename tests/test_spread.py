@@ -19,12 +19,11 @@ def table(rows):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("limits", [(10**6, 2**23), (10**6, 0), (0, 0), (0, 300)])
-def test_lookup_by_any_route(rows, table, monkeypatch, how, limits):
-    split_above, broadcast_bytes = limits
-    monkeypatch.setattr(spread, "SPLIT_ABOVE", split_above)
+@pytest.mark.parametrize("broadcast_bytes", [2**23, 0, 300])
+def test_lookup_by_any_route(rows, table, monkeypatch, how, broadcast_bytes):
+    # All broadcast, all shuffled, and shuffled but for the heavy keys.
     monkeypatch.setattr(spread, "BROADCAST_BYTES", broadcast_bytes)
-    found = spread.lookup_measured(rows, table, {"key": "its"}, weight="n", how=how)
+    found = spread.lookup(rows, table, {"key": "its"}, weight="n", how=how)
     assert found.columns == ["id", "key", "first"]
     first = {k: KEYS.index(k) for k in KEYS if k != "k3"}
     expected = [

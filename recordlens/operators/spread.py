@@ -22,7 +22,7 @@ HEAVY_PARTS = 10_000
 BROADCAST_BYTES = 8 * 1024 * 1024
 # Allowance per broadcast entry for everything but its keys.
 ENTRY_BYTES = 64
-TILE_ROWS = 1_000
+TILE_ROWS = 500
 
 Side = Callable[[str], Column]
 

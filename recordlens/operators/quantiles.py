@@ -19,21 +19,21 @@ DISTANCES = (0.0, 0.0002, 0.0004, 0.002, 0.01, 0.1)
 
 @dataclass
 class _Bracket:
-    """The ``count`` values above ``under`` up to ``high``, one with the wanted rank."""
+    """The ``count`` values between ``under`` and ``over``, one with the wanted rank."""
 
     rank: int
     count: int
     under: float | None = None
-    high: float | None = None
+    over: float | None = None
     answer: float | None = None
 
     def inside(self) -> Column:
-        """Whether x lies in the bracket."""
+        """Whether x lies in the bracket; its ends do not."""
         inside = F.lit(True)
         if self.under is not None:
             inside = inside & (F.col("x") > F.lit(self.under))
-        if self.high is not None:
-            inside = inside & (F.col("x") <= F.lit(self.high))
+        if self.over is not None:
+            inside = inside & (F.col("x") < F.lit(self.over))
         return inside
 
     def values(self) -> Column:
@@ -41,20 +41,35 @@ class _Bracket:
         return F.when(self.inside(), F.col("x"))
 
     def splitters(self) -> Column:
-        """Aggregate: approximate values around the wanted rank."""
+        """Aggregate: approximate values around the wanted rank, and both extremes."""
         share = self.rank / self.count
         near = {min(max(share + s * d, 0.0), 1.0) for d in DISTANCES for s in (-1, 1)}
-        return F.percentile_approx(self.values(), sorted(near), ACCURACY)
+        values = self.values()
+        approximate = F.percentile_approx(values, sorted(near), ACCURACY)
+        return F.array_sort(
+            F.array_distinct(F.concat(approximate, F.array(F.min(values), F.max(values))))
+        )
 
-    def narrow(self, splitters: list[float], upto: list[int]) -> None:
-        """Go on between the two splitters that enclose the rank.
+    def counts(self, splitters: list[float]) -> Column:
+        """Aggregate: how many values lie below, and how many up to, each splitter."""
+        values = self.values()
+        return F.array(
+            *(
+                F.array(F.count_if(values < F.lit(s)), F.count_if(values <= F.lit(s)))
+                for s in splitters
+            )
+        )
 
-        ``upto`` counts the bracket's values at or below each splitter.
-        """
-        steps = [(self.under, 0), *zip(splitters, upto), (self.high, self.count)]
-        at = next(i for i, (_, n) in enumerate(steps) if n >= self.rank)
-        (self.under, skipped), (self.high, reached) = steps[at - 1], steps[at]
-        self.rank, self.count = self.rank - skipped, reached - skipped
+    def narrow(self, splitters: list[float], counts: list[list[int]]) -> None:
+        """Take the splitter that has the rank, or go on between two neighbours."""
+        at = next(i for i, (_, upto) in enumerate(counts) if upto >= self.rank)
+        below = counts[at][0]
+        if below < self.rank:
+            self.answer = splitters[at]
+            return
+        skipped = counts[at - 1][1]
+        self.under, self.over = splitters[at - 1], splitters[at]
+        self.rank, self.count = self.rank - skipped, below - skipped
 
 
 def exact_quantiles(
@@ -69,8 +84,8 @@ def exact_quantiles(
     Spark's own exact percentile holds every distinct value in one task. Here each
     round asks for approximate splitters around the wanted ranks, counts exactly
     how many values lie at or below each of them, and goes on inside the brackets
-    that hold the ranks, until those are single values or at most ``in_memory``
-    values. All shares go through the same jobs, two per round. Only a few numbers
+    that hold the ranks, until a splitter has the rank itself, as a frequent value
+    soon does, or at most ``in_memory`` values are left. All shares go through the same jobs, two per round. Only a few numbers
     reach the driver, and the answers are exact however good the splitters are.
 
     Args:
@@ -93,26 +108,10 @@ def exact_quantiles(
         return values.filter(within).agg(*aggregates).first()
 
     while wide := [b for b in brackets if b.answer is None and b.count > in_memory]:
-        found = ask(
-            wide,
-            *(
-                F.struct(F.min(b.values()), F.max(b.values()), b.splitters())
-                for b in wide
-            ),
-        )
-        pending = []
-        for bracket, (low, high, splitters) in zip(wide, found):
-            if low == high:
-                bracket.answer = low
-            else:
-                pending.append((bracket, sorted({low, *(s for s in splitters if s < high)})))
-        if pending:
-            counted = ask(
-                [b for b, _ in pending],
-                *(F.array(*(F.count_if(b.values() <= s) for s in splits)) for b, splits in pending),
-            )
-            for (bracket, splits), upto in zip(pending, counted):
-                bracket.narrow(splits, upto)
+        splitters = ask(wide, *(b.splitters() for b in wide))
+        counts = ask(wide, *(b.counts(s) for b, s in zip(wide, splitters)))
+        for bracket, points, counted in zip(wide, splitters, counts):
+            bracket.narrow(points, counted)
 
     small = [b for b in brackets if b.answer is None]
     if small:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def tokenizer_file(name: str) -> str:
@@ -18,6 +19,26 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordlens.llm.substring_dedup import remove_repeats
+
+    return remove_repeats(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("text"), 256).alias("kept_sha256")
+    )
+
+
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordlens.llm.suffix_array import remove_repeated_bytes
+
+    return remove_repeated_bytes(documents(spark, sf_dir)).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2(F.col("kept"), 256).alias("kept_sha256"),
+    )
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordlens.llm.token_counts import token_counts
 
@@ -37,6 +58,8 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op3_suffix_array": op3_suffix_array,
     "op4_token_counts": op4_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op8_bpe": op8_bpe,

@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# A shard's limit, small enough that the test tables have many shards.
+SHARD_BYTES = 1 << 20
+
+
 def tokenizer_file(name: str) -> str:
     """Where a public tokenizer's file lies on this machine and on the executors."""
     import public_tokenizers
@@ -27,6 +31,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordlens.llm.sharding import extendible_shards
+
+    return extendible_shards(documents(spark, sf_dir), max_bytes=SHARD_BYTES)
+
+
 def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordlens.llm.suffix_array import remove_repeated_bytes
 
@@ -57,12 +67,29 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordlens.llm.licenses import license_scan
+
+    # The documents have no paths: source and language are directories, and so are
+    # each thousand ids.
+    path = F.concat_ws(
+        "/",
+        "source",
+        "lang",
+        F.floor(F.col("doc_id") / 1000).cast("string"),
+        F.concat(F.col("doc_id").cast("string"), F.lit(".txt")),
+    )
+    return license_scan(documents(spark, sf_dir), path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_sharding": op2_sharding,
     "op3_suffix_array": op3_suffix_array,
     "op4_token_counts": op4_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op8_bpe": op8_bpe,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {}

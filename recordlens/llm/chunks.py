@@ -107,13 +107,16 @@ def ask(chunk: int, keys: np.ndarray, counts: np.ndarray, n_buckets: int) -> pa.
 
 
 def answers(
-    asked: DataFrame, reply: Callable[[np.ndarray, np.ndarray], np.ndarray]
+    asked: DataFrame,
+    reply: Callable[[np.ndarray, np.ndarray], np.ndarray],
+    summary: Callable[[np.ndarray, np.ndarray], bytes] | None = None,
 ) -> DataFrame:
     """What the whole corpus says to each chunk.
 
     ``reply`` gets, for every distinct key of a bucket, how often all chunks hold it
     and how many chunks do, and gives an array of answers. Chunks that would get
-    nothing but zeros get no row.
+    nothing but zeros get no row. With ``summary``, what that function makes of a
+    bucket's distinct keys and totals is given as the answer to chunk -1.
     """
 
     def combine(table: pa.Table) -> pa.Table:
@@ -134,12 +137,17 @@ def answers(
         back = np.empty(len(ordered), given.dtype)
         back[order] = given[np.cumsum(first) - 1]
         parts = np.split(back, ends[:-1])
-        told = [i for i, p in enumerate(parts) if p.any()]
+        some = [i for i, p in enumerate(parts) if p.any()]
+        askers, bucket = table.column("chunk").to_numpy()[some], table.column("bucket")[0].as_py()
+        given_back = [parts[i].tobytes() for i in some]
+        if summary is not None:
+            askers = np.append(askers, -1)
+            given_back.append(summary(ordered[at], totals))
         return pa.table(
             {
-                "chunk": table.column("chunk").take(pa.array(told, pa.int64())),
-                "bucket": table.column("bucket").take(pa.array(told, pa.int64())),
-                "answer": pa.array([parts[i].tobytes() for i in told], pa.binary()),
+                "chunk": pa.array(askers, pa.int64()),
+                "bucket": pa.array(np.full(len(askers), bucket), pa.int64()),
+                "answer": pa.array(given_back, pa.binary()),
             }
         )
 

@@ -67,6 +67,19 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_decode(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordlens.llm.decontamination import find_passages
+
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_passages(documents(spark, sf_dir), items)
+
+
+def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordlens.llm.lm_scoring import lm_scores
+
+    return lm_scores(documents(spark, sf_dir))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordlens.llm.licenses import license_scan
 
@@ -87,8 +100,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_suffix_array": op3_suffix_array,
     "op4_token_counts": op4_token_counts,
+    "op6_lm_scores": op6_lm_scores,
     "op7_quality_rules": op7_quality_rules,
     "op8_bpe": op8_bpe,
+    "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
 }
 

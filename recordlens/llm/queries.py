@@ -80,6 +80,12 @@ def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(documents(spark, sf_dir))
 
 
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordlens.llm.near_dedup import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from recordlens.llm.licenses import license_scan
 
@@ -100,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_suffix_array": op3_suffix_array,
     "op4_token_counts": op4_token_counts,
+    "op5_near_dedup": op5_near_dedup,
     "op6_lm_scores": op6_lm_scores,
     "op7_quality_rules": op7_quality_rules,
     "op8_bpe": op8_bpe,

@@ -279,15 +279,22 @@ def _whole(text_col: str) -> Column:
     return F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
 
 
-def clean_lines(
+def kept_documents(
     docs: DataFrame, rules: LineRules = LineRules(), *, text_col: str = "text"
 ) -> DataFrame:
-    """The texts that are kept, each without its failing lines; other columns stay.
+    """The rows whose text is kept, unchanged.
 
     A null or empty text has no words and is not kept; repeated rows get the same
     verdict, each for itself.
     """
-    kept = docs.filter(measures(_whole(text_col), rules)["kept"])
+    return docs.filter(measures(_whole(text_col), rules)["kept"])
+
+
+def cleaned_documents(
+    docs: DataFrame, rules: LineRules = LineRules(), *, text_col: str = "text"
+) -> DataFrame:
+    """The rows whose text is kept, each text without its failing lines."""
+    kept = kept_documents(docs, rules, text_col=text_col)
     return kept.withColumn(text_col, clean_text(_whole(text_col), rules))
 
 

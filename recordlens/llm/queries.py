@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordlens.llm.oracles import oracles
+
 
 # A shard's limit, small enough that the test tables have many shards.
 SHARD_BYTES = 1 << 20
@@ -114,4 +116,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_license_scan": op10_license_scan,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = oracles(SHARD_BYTES)

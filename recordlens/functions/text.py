@@ -49,7 +49,7 @@ def length_similarity(a: Column, b: Column) -> Column:
     )
 
 
-def same_email(a: Column, b: Column, *, blank_matches: bool = True) -> Column:
+def same_email(a: Column, b: Column, *, blank_matches: bool = False) -> Column:
     """1.0 where two normalised emails agree, else 0.0; null agrees with nothing."""
     agree = a == b
     if not blank_matches:

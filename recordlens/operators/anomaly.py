@@ -11,9 +11,7 @@ from recordlens.functions.names import free_name, named
 from recordlens.functions.numeric import fence_score, finite, z_score
 from recordlens.operators.guards import require_columns, require_numeric
 from recordlens.operators.quantiles import exact_quantiles
-from recordlens.operators.spread import lookup
 from recordlens.reports import AnomalyReport
-from recordlens.storage import Workspace
 
 SCORE = "anomaly_score"
 DEFAULT_THRESHOLD = 3.0
@@ -139,9 +137,10 @@ class IQRDetector(GlobalDetector):
 class GaussianDetector:
     """Flags values more than ``threshold`` deviations from the mean of their group.
 
-    The groups are summarised with map-side partial aggregation, one written row
-    per group, and looked up from the rows. Unlike a window, that never gathers
-    the rows of one group in one task, and few groups need no shuffle of the rows.
+    The groups are summarised with map-side partial aggregation and joined back, in
+    one lazy plan that writes nothing. Unlike a window that need not gather the rows of
+    one group in one task: the summaries are small, so Spark broadcasts few of them and
+    splits the rows of a large group at run time where it shuffles.
     """
 
     name = "gaussian"
@@ -155,21 +154,20 @@ class GaussianDetector:
         """``df`` with the ``anomaly_score`` of every row within its group."""
         require_numeric(df, column)
         require_columns(df, [self.group_col])
-        group, stats, size = (free_name(df, c) for c in ("group", "stats", "size"))
+        group, stats = (free_name(df, c) for c in ("group", "stats"))
         x = finite(df, column)
         groups = df.groupBy(named(self.group_col).alias(group)).agg(
-            mean_and_spread(x).alias(stats), F.count(F.lit(1)).alias(size)
+            mean_and_spread(x).alias(stats)
         )
-        groups = Workspace(df.sparkSession, "groups").keep(groups, "stats")
-        with_stats = lookup(df, groups, {self.group_col: group}, weight=size)
         summary = named(stats)
-        return with_stats.select(
+        same = named(self.group_col).eqNullSafe(named(group))
+        return df.join(groups, same).select(
             *(named(c) for c in df.columns if c != SCORE),
             z_score(x, summary["mean"], summary["spread"]).alias(SCORE),
         )
 
     def detect(self, df: DataFrame, column: str) -> AnomalyReport:
-        """The rows that score above the cutoff; lazy once the groups are summarised."""
+        """The rows that score above the cutoff; lazy."""
         return report(self, self.score(df, column), column)
 
 

@@ -2,69 +2,22 @@
 
 Alternating large-star and small-star steps (Kiveris et al., Connected Components
 in MapReduce and Beyond, SoCC 2014) on a table of edges (low, high). Each step is
-an aggregation with map-side partial results and a join with its outcome. After
-every round the edges are written and the next round starts from the written
-table, so the lineage stays one round long.
+an aggregation with map-side partial results and a join with its outcome; the edges
+of a hub are one side of that join only, so Spark splits them at run time. After
+every round the edges are written and the next round starts from the written table,
+so the lineage stays one round long. There is one path, whatever the size.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, BooleanType
 
 from recordlens.functions.names import named
 from recordlens.operators.guards import require_columns
-from recordlens.operators.spread import lookup
 from recordlens.storage import Workspace
 
-# How many nodes a task remembers before it hands on its stars and starts afresh.
-NODES_IN_MEMORY = 250_000
-# With fewer edges one task could take all of them, so hubs need no care.
-LARGE_GRAPH = 1_000_000
-
-
-def _shrink(edges: DataFrame) -> DataFrame:
-    """Each task's edges as stars (low, high) with the same components.
-
-    No built-in function merges sets, so the tasks run a small union-find over
-    Arrow batches. What one task already knows to be connected is neither shuffled
-    nor looked at again in later rounds: a task hands on at most one edge per node.
-    """
-    limit = NODES_IN_MEMORY
-
-    # Everything the tasks call is defined in here, so that they need no package.
-    def smallest(parent: dict, node):
-        above = parent.setdefault(node, node)
-        while above != node:
-            parent[node] = parent[above]
-            node, above = above, parent[above]
-        return node
-
-    def stars(parent: dict, schema: pa.Schema) -> pa.RecordBatch:
-        linked = [(smallest(parent, node), node) for node in parent]
-        columns = zip(*((low, high) for low, high in linked if low != high))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema
-        )
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parent: dict = {}
-        for batch in batches:
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                a, b = smallest(parent, a), smallest(parent, b)
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-            if len(parent) > limit:
-                yield stars(parent, batch.schema)
-                parent = {}
-        if parent:
-            yield stars(parent, batch.schema)
-
-    return edges.mapInArrow(merge, edges.schema)
-
 
 def _ends(edges: DataFrame) -> DataFrame:
     """Each edge seen from both ends: node, other and whether the node is the lower end."""
@@ -74,38 +27,19 @@ def _ends(edges: DataFrame) -> DataFrame:
     )
 
 
-def _attach(
-    edges: DataFrame, per_node: DataFrame, end: str, work: Workspace | None, name: str
-) -> DataFrame:
-    """Each edge with what ``per_node`` says of its ``end``.
-
-    Given a workspace, the graph is large: then the table is written and measured,
-    so that a hub's edges are not all shuffled into one task.
-    """
-    if work is None:
-        return edges.join(per_node, F.col(end) == F.col("node")).drop("node", "degree")
-    return lookup(edges, work.keep(per_node, name), {end: "node"}, weight="degree")
-
-
-def _large_star(edges: DataFrame, work: Workspace | None) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
     """Link the higher end of each edge to the smallest neighbour of its lower end."""
-    nearest = (
-        _ends(edges)
-        .groupBy("node")
-        .agg(F.expr("min(other) AS nearest"), F.expr("count_if(lower) AS degree"))
-    )
-    return _attach(edges, nearest, "low", work, "nearest").selectExpr(
+    nearest = _ends(edges).groupBy("node").agg(F.min("other").alias("nearest"))
+    return edges.join(nearest, F.col("low") == F.col("node")).selectExpr(
         "least(low, nearest) AS low", "high"
     )
 
 
-def _small_star(edges: DataFrame, work: Workspace | None) -> DataFrame:
+def _small_star(edges: DataFrame) -> DataFrame:
     """Link each node and its lower neighbours to the smallest of them."""
-    smallest = edges.groupBy(F.expr("high AS node")).agg(
-        F.expr("min(low) AS root"), F.expr("count(1) AS degree")
-    )
+    smallest = edges.groupBy(F.col("high").alias("node")).agg(F.min("low").alias("root"))
     return (
-        _attach(edges, smallest, "high", work, "smallest")
+        edges.join(smallest, F.col("high") == F.col("node"))
         .selectExpr(
             "inline(array(struct(root AS low, high AS high), struct(root AS low, low AS high)))"
         )
@@ -114,21 +48,11 @@ def _small_star(edges: DataFrame, work: Workspace | None) -> DataFrame:
     )
 
 
-def _state(edges: DataFrame) -> tuple[int, bool]:
-    """Number of edges, and whether they are stars around their smallest nodes.
-
-    They are once every higher end has one edge and no lower end is a higher end.
-    """
-    per_node = (
-        _ends(edges)
-        .groupBy("node")
-        .agg(F.expr("count_if(lower) AS below"), F.expr("count_if(NOT lower) AS above"))
-    )
-    total, settled = per_node.agg(
-        F.expr("coalesce(sum(above), 0)"),
-        F.expr("coalesce(bool_and(above = 0 OR (above = 1 AND below = 0)), true)"),
-    ).first()
-    return total, settled
+def _state(edges: DataFrame) -> tuple[int, int]:
+    """Number of edges and a sum over their hashes; equal for equal sets of edges."""
+    mixed = F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))
+    total, print_ = edges.agg(F.count(F.lit(1)), F.coalesce(mixed, F.lit(0))).first()
+    return total, int(print_)
 
 
 def star_forest(edges: DataFrame, work: Workspace) -> DataFrame:
@@ -143,18 +67,16 @@ def star_forest(edges: DataFrame, work: Workspace) -> DataFrame:
     ordered = edges.filter(first != second).select(
         F.least(first, second).alias("low"), F.greatest(first, second).alias("high")
     )
-    current = work.keep(_shrink(ordered).distinct(), "edges-0")
-    total, settled = _state(current)
-    done = 0
-    while not settled:
-        large = work if total > LARGE_GRAPH else None
-        turned = _large_star(current, large)
-        if large:
-            turned = work.keep(turned, "turned")
-        following = work.keep(_small_star(turned, large), f"edges-{done + 1}")
-        total, settled = _state(following)
-        work.forget(f"edges-{done}", "nearest", "turned", "smallest")
+    current = work.keep(ordered.distinct(), "edges-0")
+    state, done = _state(current), 0
+    while state[0]:
+        following = work.keep(_small_star(_large_star(current)), f"edges-{done + 1}")
+        work.forget(f"edges-{done}")
+        before, state = state, _state(following)
         current, done = following, done + 1
+        # A round that changes nothing has only stars around smallest nodes left.
+        if state == before:
+            break
     return current
 
 
@@ -167,14 +89,15 @@ def connected_components(
         records: All records; those without a match are entities of their own.
         matches: Matched pairs ``<id_col>_a``, ``<id_col>_b``. Ids that are not among
             the records still connect what they touch.
-        id_col: Unique record id, of any type that can be ordered.
+        id_col: Unique record id: a number, text, date, time or binary value.
     """
     require_columns(records, [id_col])
     require_columns(matches, [f"{id_col}_a", f"{id_col}_b"])
-    forest = star_forest(
-        matches.select(named(f"{id_col}_a"), named(f"{id_col}_b")),
-        Workspace(records.sparkSession, "components"),
-    )
+    kind = records.schema[id_col].dataType
+    if not isinstance(kind, AtomicType) or isinstance(kind, BooleanType):
+        raise ValueError(f"ids must be plain values, not {kind.simpleString()}")
+    work = Workspace(records.sparkSession, "components")
+    forest = star_forest(matches.select(named(f"{id_col}_a"), named(f"{id_col}_b")), work)
     own = records.select(named(id_col).alias("id"))
     return own.join(forest, F.col("id") == F.col("high"), "left").select(
         F.col("id").alias(id_col), F.coalesce("low", "id").alias("entity_id")

@@ -18,13 +18,14 @@ from recordlens.functions.text import (
     same_phone,
 )
 from recordlens.operators.guards import require_columns
+from recordlens.operators.matching import MatchScorer
 from recordlens.operators.spread import pairs_within
 
 FIELDS = ("name", "email", "phone", "city")
 EVIDENCE = ("email", "phone")
 
 
-def evidence_key(field: str, *, blank_emails: bool = True) -> Column:
+def evidence_key(field: str, *, blank_emails: bool = False) -> Column:
     """The value on which two records must agree for an exact feature; null if none can."""
     if field == "email":
         email = normalised(named("email"))
@@ -42,9 +43,7 @@ def block_sizes(records: DataFrame, *, trim_key: bool = False) -> DataFrame:
     require_columns(records, ["name", "city"])
     key = block_key(named("name"), named("city"), trim=trim_key)
     sizes = records.groupBy(key.alias("block_key")).agg(F.count(F.lit(1)).alias("n_records"))
-    return sizes.filter(F.col("block_key") != "").withColumn(
-        "n_pairs", pair_count(F.col("n_records"))
-    )
+    return sizes.withColumn("n_pairs", pair_count(F.col("n_records")))
 
 
 def candidate_pairs(
@@ -52,27 +51,31 @@ def candidate_pairs(
     *,
     id_col: str = "record_id",
     fields: Sequence[str] = FIELDS,
-    evidence: Sequence[str] = EVIDENCE,
-    blank_emails: bool = True,
+    evidence: Sequence[str] | MatchScorer,
+    blank_emails: bool = False,
     trim_key: bool = False,
 ) -> DataFrame:
     """Pairs of records in one block, smaller id first, as ``<field>_a`` / ``<field>_b``.
 
-    With the default weights a pair that shares neither email nor phone scores at
-    most 0.5 and can never match, so by default only pairs that share at least one
-    of the two are produced: an equi-join on (block, value) whose output grows with
-    the duplicates in the data, not with the square of a block. ``evidence=()``
-    asks for every pair of a block; look at :func:`block_sizes` first.
+    What may be left out depends on who scores the pairs, so ``evidence`` has no
+    default. Given a scorer, all pairs that can match by its weights and threshold are
+    produced: if a match needs the same email or phone, by an equi-join on (block,
+    value) whose output grows with the duplicates in the data. Otherwise, and with
+    ``evidence=()``, it is every pair of a block; look at :func:`block_sizes` first.
+    Records without name and city share the empty block.
 
     Args:
         records: Records with ``id_col``, ``name``, ``city``, the ``fields`` and the
             ``evidence`` fields.
         id_col: Unique record id.
         fields: Columns carried onto both sides.
-        evidence: Fields of which at least one must agree, out of email and phone.
+        evidence: The scorer of the pairs, or the fields of which at least one must
+            agree, out of email and phone.
         blank_emails: Whether two blank emails agree.
         trim_key: Whether outer spaces are left out of the block key.
     """
+    if isinstance(evidence, MatchScorer):
+        evidence = evidence.evidence()
     require_columns(records, [id_col, "name", "city", *fields, *evidence])
     block, shared, kind, earlier = (
         free_name(records, c) for c in ("block", "shared", "kind", "earlier")
@@ -85,7 +88,7 @@ def candidate_pairs(
             if evidence
             else [F.lit("")]
         ).alias(earlier),
-    ).filter(named(block) != "")
+    )
     # One row per way to agree; `earlier` holds the values of the ways before it.
     ways = keyed.select("*", F.posexplode(named(earlier)).alias(kind, shared)).withColumn(
         earlier, F.slice(named(earlier), F.lit(1), named(kind))
@@ -102,11 +105,12 @@ def candidate_pairs(
     )
 
 
-def compare_pairs(pairs: DataFrame, *, blank_emails: bool = True) -> DataFrame:
+def compare_pairs(pairs: DataFrame, *, blank_emails: bool = False) -> DataFrame:
     """``pairs`` with ``name_sim``, ``city_sim``, ``email_exact`` and ``phone_exact``.
 
     All four are doubles from 0 to 1 and never null: a missing value on either
-    side gives 0.0, because absence is no evidence. So does a blank phone.
+    side gives 0.0, because absence is no evidence. So does a blank phone, and a blank
+    email unless ``blank_emails`` is set.
     """
     require_columns(pairs, [f"{f}_{end}" for f in FIELDS for end in "ab"])
 

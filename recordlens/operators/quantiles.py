@@ -90,7 +90,8 @@ def exact_quantiles(
 
     Args:
         df: Input rows.
-        x: Numeric expression; nulls are ignored.
+        x: Numeric expression; nulls are ignored. Values are compared as doubles, so
+            whole numbers beyond 2**53 and long decimals are rounded first.
         probabilities: The wanted shares, each from 0 to 1.
         in_memory: How many values one task may sort at the end.
 

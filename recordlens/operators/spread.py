@@ -1,15 +1,15 @@
 """Joins that stay balanced when one key holds a large part of the rows.
 
-A key is *heavy* if it holds more than 1/parts of the rows. By counting, fewer
-than ``parts`` keys can be heavy, whatever the data, so a table with one entry per
-heavy key is always small enough to broadcast. No other key can bring more than
-1/parts of the rows into one task.
+A key is *heavy* if it holds more than 1/HEAVY_PARTS of the rows. By counting, fewer
+than HEAVY_PARTS keys can be heavy, whatever the data. All that is broadcast of them is
+an eight-byte hash and a number, so how wide keys and entries are makes no difference.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
+from math import isqrt
 from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
@@ -18,10 +18,13 @@ from pyspark.sql import functions as F
 from recordlens.functions.names import free_name, named
 from recordlens.storage import Workspace
 
-HEAVY_PARTS = 10_000
+HEAVY_PARTS = 100_000
+# A heavy key is dealt to at most so many tasks.
+MOST_SALTS = 1_000
 BROADCAST_BYTES = 8 * 1024 * 1024
-# Allowance per broadcast entry for everything but its keys.
+# Allowance per broadcast entry, and per field, for what a hash table adds.
 ENTRY_BYTES = 64
+FIELD_BYTES = 16
 TILE_ROWS = 500
 
 Side = Callable[[str], Column]
@@ -37,10 +40,10 @@ def lookup(
 ) -> DataFrame:
     """Attach to each row the one entry of a written ``table`` with the same keys.
 
-    The table is measured first. Up to BROADCAST_BYTES all of it is broadcast and
-    ``rows`` is not shuffled. Beyond that ``rows`` is shuffled, after taking out the
-    heavy keys if there are any; how many keys can be heavy follows from the widest
-    key, so that the broadcast entries stay within BROADCAST_BYTES too.
+    The table is measured first, keys and payload. Up to BROADCAST_BYTES all of it is
+    broadcast and ``rows`` is not shuffled. Beyond that both sides are shuffled, and
+    the rows of a heavy key are dealt to several tasks, each of which gets a copy of
+    the key's one entry.
 
     Args:
         rows: The large side; any key may hold any share of it.
@@ -50,33 +53,51 @@ def lookup(
         weight: Column of ``table``, dropped from the result like its keys.
         how: ``inner`` or ``left``.
     """
-    widths = (F.coalesce(F.octet_length(named(t).cast("string")), F.lit(0)) for t in keys.values())
-    width = reduce(add, widths)
+    widths = (
+        F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)) + FIELD_BYTES
+        for c in table.columns
+    )
     size = table.agg(
-        F.count(F.lit(1)).alias("entries"),
-        *(
-            F.coalesce(measure, F.lit(0)).alias(name)
-            for name, measure in {
-                "key_bytes": F.sum(width),
-                "widest": F.max(width),
-                "total": F.sum(named(weight)),
-                "heaviest": F.max(named(weight)),
-            }.items()
-        ),
+        F.coalesce(F.sum(reduce(add, widths) + ENTRY_BYTES), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(named(weight)), F.lit(0)).alias("total"),
+        F.coalesce(F.max(named(weight)), F.lit(0)).alias("heaviest"),
     ).first()
     on = reduce(and_, (named(r).eqNullSafe(named(t)) for r, t in keys.items()))
     extra = [*keys.values(), weight]
-    if size["key_bytes"] + ENTRY_BYTES * size["entries"] <= BROADCAST_BYTES:
+    if size["bytes"] <= BROADCAST_BYTES:
         return rows.join(F.broadcast(table), on, how).drop(*extra)
-    parts = min(max(BROADCAST_BYTES // (size["widest"] + ENTRY_BYTES), 1), HEAVY_PARTS)
-    limit = size["total"] // parts
-    if size["heaviest"] <= limit:
-        return rows.join(table, on, how).drop(*extra)
-    heavy = F.broadcast(table.filter(named(weight) > limit))
-    light = table.filter(named(weight) <= limit)
-    settled = rows.join(heavy, on).drop(*extra)
-    others = rows.join(heavy, on, "left_anti").join(light, on, how).drop(*extra)
-    return settled.unionByName(others)
+    share = max(size["total"] // HEAVY_PARTS, 1)
+    if size["heaviest"] <= share:
+        return rows.join(table.hint("merge"), on, how).drop(*extra)
+    print_, salts, salt, its_salt = (
+        free_name(rows, c) for c in ("print", "salts", "salt", "its_salt")
+    )
+    # Rows and entries look a key up by the same hash, so both know it as heavy; a light
+    # key with a heavy one's hash is dealt out needlessly, no more.
+    heavy = F.broadcast(
+        table.filter(named(weight) > share)
+        .groupBy(F.xxhash64(*(named(t) for t in keys.values())).alias(print_))
+        .agg(
+            F.least(F.ceil(F.max(named(weight)) / share), F.lit(MOST_SALTS))
+            .cast("int")
+            .alias(salts)
+        )
+    )
+    one = F.coalesce(named(salts), F.lit(1))
+    dealt = (
+        rows.withColumn(print_, F.xxhash64(*(named(r) for r in keys)))
+        .join(heavy, print_, "left")
+        .withColumn(salt, F.pmod(F.monotonically_increasing_id(), one))
+        .drop(print_, salts)
+    )
+    copies = (
+        table.withColumn(print_, F.xxhash64(*(named(t) for t in keys.values())))
+        .join(heavy, print_, "left")
+        .withColumn(its_salt, F.explode(F.sequence(F.lit(0).cast("bigint"), one - 1)))
+        .drop(print_, salts)
+    )
+    on = on & (named(salt) == named(its_salt))
+    return dealt.join(copies.hint("merge"), on, how).drop(*extra, salt, its_salt)
 
 
 def pairs_within(
@@ -91,7 +112,8 @@ def pairs_within(
     the join. Both sides read the same shuffle. One job looks for groups of more
     than TILE_ROWS rows beforehand; if there are any, they are cut into slices and
     every two slices meet in a task of their own, so that the work of a large group
-    spreads over the cluster and each pair is still seen exactly once.
+    spreads over the cluster and each pair is still seen exactly once. A row goes to
+    as many tasks as there are slices, at most about the root of twice the tasks.
 
     Args:
         rows: The rows to pair; a null key agrees with nothing.
@@ -133,7 +155,10 @@ def pairs_within(
         return meet(rows, keys, in_order & keep(a, b)), a, b
 
     sizes = Workspace(spark, "pairs").keep(
-        sizes.withColumn(slices, F.ceil(named(size) / TILE_ROWS)), "sizes"
+        sizes.withColumn(
+            slices, F.least(F.ceil(named(size) / TILE_ROWS), F.lit(isqrt(2 * tasks) + 1))
+        ),
+        "sizes",
     )
     sliced = (
         lookup(rows, sizes, large, weight=size, how="left")

@@ -15,14 +15,18 @@ from recordlens.operators.quality import flag_measures, pair_measures
 from recordlens.plans.detection import DetectionPipeline, detect_anomalies, flag_totals
 from recordlens.plans.resolution import ResolutionPipeline, resolve_entities
 from recordlens.plans.scorecard import scorecard
-from recordlens.sources import labelled_transactions, plant_duplicates
+from recordlens.sources import plant_anomalies, plant_duplicates
 from recordlens.storage import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 CUSTOM_WEIGHTS = {"name_sim": 0.5, "email_exact": 0.25, "city_sim": 0.25}
 CUSTOM_THRESHOLD = 0.8
+LOW_THRESHOLD = 0.5
 CHAIN = 50
+# Without a common divisor with CHAIN: steps of this length visit every key of a chain.
+STRIDE = 17
+ACCURACY = 10_000
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,15 +34,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = _table(spark, sf_dir, "events")
-    return labelled_transactions(
-        events.select(F.col("event_id").alias("txn_id"), F.col("user_id").alias("customer_id"))
+    events = _table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("txn_id"),
+        F.col("user_id").alias("customer_id"),
+        F.col("value").alias("amount"),
     )
+    return plant_anomalies(events)
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = _table(spark, sf_dir, "customer")
-    return plant_duplicates(customer.select(F.col("c_custkey").alias("entity_id")))
+    """Records read off the documents, which hold copies, short texts and shared values."""
+    documents = _table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("record_id"),
+        # Plain letters, because engines disagree on the edit distance of others.
+        F.regexp_replace(F.substring("text", 1, 14), "[^A-Za-z ]", "").alias("name"),
+        F.concat(F.substring("text", 20, 8), F.lit("@"), "lang").alias("email"),
+        F.col("n_chars").cast("string").alias("phone"),
+        F.concat("lang", F.lit("-"), "source").alias("city"),
+    )
+    return plant_duplicates(documents)
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -103,9 +117,43 @@ def gauss_lineitem_supp_t15(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def multi_detect_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     detectors = (ZScoreDetector(), IQRDetector(exact=True), GaussianDetector("user_id"))
+    return DetectionPipeline(detectors).totals(_table(spark, sf_dir, "events"), "value")
+
+
+def flag_totals_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    detectors = (ZScoreDetector(2.0), IQRDetector(exact=True))
     return flag_totals(DetectionPipeline(detectors).run(_table(spark, sf_dir, "events"), "value"))
 
 
+def iqr_approximate_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the quartiles of the one-pass detector are as near in rank as it promises."""
+    events = _table(spark, sf_dir, "events")
+    x = F.col("value")
+    summary = IQRDetector(accuracy=ACCURACY).summarise(events, x)
+    counted = events.filter(x.isNotNull()).agg(
+        F.count(x).alias("n_values"),
+        *(
+            agg.alias(f"{q}_{name}")
+            for q in ("q1", "q3")
+            for name, agg in (
+                ("below", F.count_if(x < summary[q])),
+                ("upto", F.count_if(x <= summary[q])),
+            )
+        ),
+    )
+    slack = F.col("n_values") / ACCURACY + 1
+    return counted.select(
+        "n_values",
+        *(
+            (
+                (F.col(f"{q}_below") <= F.col("n_values") * share + slack)
+                & (F.col(f"{q}_upto") >= F.col("n_values") * share - slack)
+            ).alias(f"{q}_within")
+            for q, share in (("q1", 0.25), ("q3", 0.75))
+        ),
+    )
+
+
 def zscore_constant(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = _table(spark, sf_dir, "lineitem").withColumn("constant", F.col("l_tax") * 0 + 5)
     scored = ZScoreDetector(2.0).score(lineitem, "constant")
@@ -159,11 +207,11 @@ def block_sizes_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidate_pairs_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candidate_pairs(_customers(spark, sf_dir))
+    return candidate_pairs(_customers(spark, sf_dir), evidence=MatchScorer())
 
 
 def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare_pairs(candidate_pairs(_customers(spark, sf_dir)))
+    return compare_pairs(candidate_pairs(_customers(spark, sf_dir), evidence=MatchScorer()))
 
 
 def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,6 +239,12 @@ def matches_custom_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(ResolutionPipeline(scorer).matches(_customers(spark, sf_dir)))
 
 
+def matches_low_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scorer = MatchScorer(threshold=LOW_THRESHOLD)
+    pairs = candidate_pairs(_customers(spark, sf_dir), evidence=scorer)
+    return _scores(scorer.matches(compare_pairs(pairs)))
+
+
 def entity_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve_entities(_customers(spark, sf_dir)).clusters
 
@@ -200,6 +254,10 @@ def entity_clusters_custom_weights(spark: SparkSession, sf_dir: str) -> DataFram
     return ResolutionPipeline(scorer).resolve(_customers(spark, sf_dir)).clusters
 
 
+def entity_clusters_blank_emails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ResolutionPipeline(blank_emails=True).resolve(_customers(spark, sf_dir)).clusters
+
+
 def components_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = _customers(spark, sf_dir)
     return connected_components(customers, ResolutionPipeline().matches(customers))
@@ -214,6 +272,30 @@ def components_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return connected_components(orders, steps, id_col="o_orderkey")
 
 
+def components_shuffled_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each chain of orders linked in an order that jumps to and fro."""
+    key = F.col("o_orderkey")
+    orders = _table(spark, sf_dir, "orders").select(key)
+    base, step = key - key % CHAIN, key % CHAIN
+    jumps = orders.filter(step != CHAIN - 1).select(
+        (base + step * STRIDE % CHAIN).alias("o_orderkey_a"),
+        (base + (step + 1) * STRIDE % CHAIN).alias("o_orderkey_b"),
+    )
+    return connected_components(orders, jumps, id_col="o_orderkey")
+
+
+def components_hub(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders of a priority linked to the dearest one."""
+    orders = _table(spark, sf_dir, "orders")
+    hubs = orders.groupBy("o_orderpriority").agg(
+        F.max_by("o_orderkey", F.struct("o_totalprice", "o_orderkey")).alias("o_orderkey_b")
+    )
+    links = orders.join(hubs, "o_orderpriority").select(
+        F.col("o_orderkey").alias("o_orderkey_a"), "o_orderkey_b"
+    )
+    return connected_components(orders.select("o_orderkey"), links, id_col="o_orderkey")
+
+
 def pairwise_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = _written(_customers(spark, sf_dir), "customers")
     quality = pair_measures(resolve_entities(customers).clusters, customers)
@@ -237,7 +319,9 @@ QUERIES: dict[str, Query] = {
     "gauss_events_user": gauss_events_user,
     "gauss_events_type": gauss_events_type,
     "gauss_lineitem_supp_t15": gauss_lineitem_supp_t15,
+    "iqr_approximate_ranks": iqr_approximate_ranks,
     "multi_detect_events": multi_detect_events,
+    "flag_totals_events": flag_totals_events,
     "zscore_constant": zscore_constant,
     "gauss_singletons": gauss_singletons,
     "labelled_transactions": labelled_transactions_events,
@@ -251,10 +335,14 @@ QUERIES: dict[str, Query] = {
     "match_scores": match_scores,
     "matches": matches,
     "matches_custom_weights": matches_custom_weights,
+    "matches_low_threshold": matches_low_threshold,
     "entity_clusters": entity_clusters,
+    "entity_clusters_blank_emails": entity_clusters_blank_emails,
     "entity_clusters_custom_weights": entity_clusters_custom_weights,
     "components_matches": components_matches,
     "components_chain": components_chain,
+    "components_shuffled_path": components_shuffled_path,
+    "components_hub": components_hub,
     "pairwise_metrics": pairwise_metrics,
     "scorecard": scorecard_planted,
 }

@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordlens.functions.names import free_name, named
 from recordlens.functions.numeric import finite
 from recordlens.operators.anomaly import (
     SCORE,
@@ -83,6 +84,38 @@ class DetectionPipeline:
                 reports[name] = detector.detect(df, column)
         return reports
 
+    def totals(self, df: DataFrame, column: str) -> DataFrame:
+        """How many rows each detector flags: (detector, n_flagged), from one scan.
+
+        The global detectors' scores stand side by side; a detector of groups adds its
+        summaries by a join. All flags are then counted in one aggregation.
+        """
+        require_numeric(df, column)
+        x = finite(df, column)
+        summaries = self._summaries(df, x)
+        scored, scores = df.select("*"), {}
+        for i, (name, detector) in enumerate(self._by_name.items()):
+            score = free_name(scored, f"score_{i}")
+            if name in summaries:
+                scored = scored.withColumn(score, detector.deviation(x, summaries[name]))
+            elif hasattr(detector, "score"):
+                found = detector.score(scored, column)
+                scored = found.withColumnRenamed(SCORE, score)
+            else:
+                raise TypeError(f"detector {name!r} gives no scores of single rows")
+            scores[name] = named(score) > F.lit(detector.cutoff)
+        flagged = {
+            name: F.count_if(named(column).isNotNull() & over) for name, over in scores.items()
+        }
+        counted = scored.agg(F.struct(*(n.alias(f"n{i}") for i, n in enumerate(flagged.values()))).alias("n"))
+        rows = F.array(
+            *(
+                F.struct(F.lit(name).alias("detector"), F.col(f"n.n{i}").alias("n_flagged"))
+                for i, name in enumerate(flagged)
+            )
+        )
+        return counted.select(F.inline(rows))
+
 
 def flag_totals(reports: Mapping[str, AnomalyReport]) -> DataFrame:
     """How many rows each report flags: one row (detector, n_flagged) per report."""

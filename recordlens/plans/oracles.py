@@ -1,15 +1,16 @@
 """The catalogue's queries once more, as plain SQL for an independent engine.
 
-Written from the definitions, not from the Spark plans: pairs are compared by a
-self-join of each block and components are closed by a recursive query.
+Written from the definitions, not from the Spark plans: records are matched by a
+self-join of each block, without regard to what a match needs, and components are
+closed by a recursive query.
 """
 
 from __future__ import annotations
 
 from recordlens.functions.draws import DRAW_BITS, WORD_DIGITS
 from recordlens.operators.matching import DEFAULT_WEIGHTS
-from recordlens.plans.catalogue import CHAIN, CUSTOM_THRESHOLD, CUSTOM_WEIGHTS
-from recordlens.sources.planted import CITIES, COPY_SLOTS, FIRST_NAMES, LAST_NAMES
+from recordlens.plans.catalogue import CHAIN, CUSTOM_THRESHOLD, CUSTOM_WEIGHTS, LOW_THRESHOLD
+from recordlens.sources.planted import COPY_SLOTS
 
 
 def _num(x: float) -> str:
@@ -27,80 +28,76 @@ def _whole(draw: str, low: int, high: int) -> str:
     return f"({low} + floor({draw} * {_num(high - low + 1)}))::INTEGER"
 
 
-def _pick(draw: str, pool: tuple[str, ...]) -> str:
-    values = ", ".join(f"'{p}'" for p in pool)
-    return f"list_extract([{values}], {_whole(draw, 1, len(pool))})"
-
-
 def _transactions() -> str:
-    noise = " + ".join(f"n{i}" for i in range(12))
-    draws = ", ".join(f"{_draw('7|amount', i + 2, 'event_id')} AS n{i}" for i in range(12))
+    odd = f"{_draw('5|odd', 0, 'event_id')} < {_num(0.01)}"
     return f"""
-    draws AS (
-      SELECT event_id AS txn_id, user_id AS customer_id,
-             {_num(50)} + {_num(450)} * {_draw("7|usual", 0, "user_id")} AS usual,
-             {_draw("7|amount", 0, "event_id")} < {_num(0.01)} AS odd,
-             {_draw("7|amount", 1, "event_id")} AS factor, {draws}
-      FROM events),
     txns AS (
-      SELECT txn_id, customer_id,
-             CASE WHEN odd THEN usual * ({_num(5)} + {_num(10)} * factor)
-                  ELSE greatest({_num(0)}, usual + {_num(0.1)} * usual * ({noise} - {_num(6)}))
-             END AS amount,
-             odd::BIGINT AS is_anomaly
-      FROM draws)"""
+      SELECT event_id AS txn_id, user_id AS customer_id,
+             CASE WHEN {odd} THEN value * {_num(12)} ELSE value END AS amount,
+             ({odd})::BIGINT AS is_anomaly
+      FROM events)"""
 
 
 def _customers() -> str:
-    def entity(i: int) -> str:
-        return _draw("11|entity", i, "c_custkey")
-
     def copied(i: int) -> str:
-        return _draw("11|copy", i, "e", "copy")
+        return _draw("17|copy", i, "e", "copy")
 
-    cut = f"(2 + floor({copied(1)} * (length(last) - 1)))::INTEGER"
+    many = _draw("17|copies", 1, "doc_id")
     return f"""
     entities AS (
-      SELECT c_custkey AS e, {_pick(entity(0), FIRST_NAMES)} AS first,
-             {_pick(entity(1), LAST_NAMES)} AS last, {_pick(entity(2), CITIES)} AS city,
-             {_whole(entity(3), 200, 999)} || '-' || {_whole(entity(4), 200, 999)} || '-'
-               || {_whole(entity(5), 1000, 9999)} AS phone,
-             CASE WHEN {entity(6)} < {_num(0.3)} THEN {_whole(entity(7), 1, COPY_SLOTS - 1)}
-                  ELSE 0 END AS copies
-      FROM customer),
+      SELECT doc_id AS e, regexp_replace(substr(text, 1, 14), '[^A-Za-z ]', '', 'g') AS name,
+             substr(text, 20, 8) || '@' || lang AS email,
+             n_chars::VARCHAR AS phone, lang || '-' || source AS city,
+             CASE WHEN {_draw("17|copies", 0, "doc_id")} < {_num(0.25)}
+                  THEN {_whole(many, 1, COPY_SLOTS - 1)} ELSE 0 END AS copies
+      FROM documents),
     copies AS (
       SELECT *, unnest(range(copies + 1)) AS copy FROM entities),
+    drawn AS (
+      SELECT *, {copied(0)} AS style, {copied(2)} AS mail, {copied(3)} AS tel,
+             (2 + floor({copied(1)} * (length(name) - 2)))::INTEGER AS p
+      FROM copies),
     customers AS (
       SELECT (e * {COPY_SLOTS} + copy)::BIGINT AS record_id,
-             CASE WHEN copy = 0 THEN first || ' ' || last
-                  WHEN {copied(0)} < {_num(0.5)} THEN first[1] || ' ' || last
-                  WHEN length(last) > 2
-                    THEN first || ' ' || substr(last, 1, {cut} - 1) || substr(last, {cut} + 1)
-                  ELSE first || ' ' || last END AS name,
-             CASE WHEN copy > 0 AND {copied(2)} < {_num(0.3)}
-                  THEN first || last || e || '@mail.com'
-                  ELSE first || '.' || last || e || '@example.com' END AS email,
-             CASE WHEN copy > 0 AND {copied(4)} < {_num(0.1)} THEN ''
-                  WHEN copy > 0 AND {copied(3)} < {_num(0.5)} THEN replace(phone, '-', '')
+             CASE WHEN copy = 0 OR length(name) < 3 THEN name
+                  WHEN style < {_num(0.4)} THEN substr(name, 1, p) || substr(name, p)
+                  WHEN style < {_num(0.7)}
+                    THEN substr(name, 1, p - 1) || substr(name, p + 1, 1) || substr(name, p, 1)
+                         || substr(name, p + 2)
+                  ELSE upper(name) END AS name,
+             CASE WHEN copy = 0 THEN email WHEN mail < {_num(0.1)} THEN NULL
+                  WHEN mail < {_num(0.3)} THEN ''
+                  WHEN mail < {_num(0.6)} THEN ' ' || upper(email) || ' '
+                  ELSE email END AS email,
+             CASE WHEN copy = 0 THEN phone WHEN tel < {_num(0.1)} THEN ''
+                  WHEN tel < {_num(0.35)} THEN '(' || phone || ')'
                   ELSE phone END AS phone,
              city, e::BIGINT AS true_entity_id
-      FROM copies)"""
+      FROM drawn)"""
 
 
 _FIELDS = ("name", "email", "phone", "city")
 
 
-def _pairs(agree: str = "email OR phone") -> str:
-    same = {
-        "email": "lower(trim(a.email)) = lower(trim(b.email))",
-        "phone": "(regexp_replace(a.phone, '\\D', '', 'g') = regexp_replace(b.phone, '\\D', '', 'g')"
-        " AND regexp_replace(a.phone, '\\D', '', 'g') <> '')",
-    }
-    condition = " OR ".join(same[f] for f in agree.split(" OR "))
+def _digits(side: str) -> str:
+    return f"regexp_replace({side}, '\\D', '', 'g')"
+
+
+def _same(email: tuple[str, str], phone: tuple[str, str], blank_emails: bool) -> dict[str, str]:
+    a, b = (f"lower(trim({e}))" for e in email)
+    p, q = (_digits(x) for x in phone)
+    blank = "" if blank_emails else f" AND {a} <> ''"
+    return {"email": f"({a} = {b}{blank})", "phone": f"({p} = {q} AND {p} <> '')"}
+
+
+def _pairs(evidence: tuple[str, ...] = ()) -> str:
+    """Pairs of a block, or those of them that agree on some evidence."""
+    same = _same(("a.email", "b.email"), ("a.phone", "b.phone"), False)
+    condition = " OR ".join(same[f] for f in evidence) or "true"
     carried = ", ".join(f"a.{f} AS {f}_a, b.{f} AS {f}_b" for f in _FIELDS)
     return f"""
     keyed AS (
-      SELECT *, substr(lower(name), 1, 1) || '|' || substr(lower(city), 1, 3) AS block
+      SELECT *, concat_ws('|', substr(lower(name), 1, 1), substr(lower(city), 1, 3)) AS block
       FROM customers),
     pairs AS (
       SELECT a.record_id AS record_id_a, b.record_id AS record_id_b, {carried}
@@ -108,23 +105,22 @@ def _pairs(agree: str = "email OR phone") -> str:
       WHERE {condition})"""
 
 
-def _features() -> str:
+def _features(blank_emails: bool = False) -> str:
     def similarity(f: str) -> str:
         a, b = f"lower(trim({f}_a))", f"lower(trim({f}_b))"
         longer = f"greatest(length({a}), length({b}))"
         return (
-            f"CASE WHEN {longer} = 0 THEN {_num(1)} "
+            f"CASE WHEN {a} IS NULL OR {b} IS NULL THEN {_num(0)} WHEN {longer} = 0 THEN {_num(1)} "
             f"ELSE {_num(1)} - levenshtein({a}, {b})::DOUBLE / {longer}::DOUBLE END"
         )
 
-    a, b = (f"regexp_replace(phone_{end}, '\\D', '', 'g')" for end in "ab")
+    same = _same(("email_a", "email_b"), ("phone_a", "phone_b"), blank_emails)
     return f"""
     features AS (
       SELECT record_id_a, record_id_b,
              {similarity("name")} AS name_sim, {similarity("city")} AS city_sim,
-             (lower(trim(email_a)) = lower(trim(email_b)))::INTEGER::DOUBLE AS email_exact,
-             CASE WHEN {a} = '' OR {b} = '' THEN {_num(0)}
-                  ELSE ({a} = {b})::INTEGER::DOUBLE END AS phone_exact
+             coalesce({same["email"]}, false)::INTEGER::DOUBLE AS email_exact,
+             coalesce({same["phone"]}, false)::INTEGER::DOUBLE AS phone_exact
       FROM pairs)"""
 
 
@@ -228,9 +224,14 @@ _GROUP_FLAGS = f"""
     WHERE {_z("amount", "mu", "sd")} > 3"""
 
 
-def _default_scores() -> str:
+def _default_scores(threshold: float = 0.6, blank_emails: bool = False) -> str:
     return ",".join(
-        [_customers(), _pairs(), _features(), _scored(DEFAULT_WEIGHTS, 0.6, 1.0)]
+        [
+            _customers(),
+            _pairs(),
+            _features(blank_emails),
+            _scored(DEFAULT_WEIGHTS, threshold, 1.0),
+        ]
     )
 
 
@@ -238,7 +239,7 @@ def _custom_scores() -> str:
     return ",".join(
         [
             _customers(),
-            _pairs("email"),
+            _pairs(),
             _features(),
             _scored(CUSTOM_WEIGHTS, CUSTOM_THRESHOLD, sum(CUSTOM_WEIGHTS.values())),
         ]
@@ -310,6 +311,7 @@ def oracles() -> dict[str, str]:
         "doc_id",
         _zscore("documents", "n_chars", "doc_id, n_chars", 2),
     )
+    evidence = ("email", "phone")
     clusters = f"{_closure()} SELECT record_id, entity_id FROM clusters"
     return {
         "zscore_events": zscore,
@@ -331,6 +333,15 @@ def oracles() -> dict[str, str]:
             f"SELECT '{name}' AS detector, count(*) AS n_flagged FROM ({sql})"
             for name, sql in (("zscore", zscore), ("iqr", iqr), ("gaussian", gauss))
         ),
+        "flag_totals_events": " UNION ALL ".join(
+            f"SELECT '{name}' AS detector, count(*) AS n_flagged FROM ({sql})"
+            for name, sql in (
+                ("zscore", _zscore("events", "value", "event_id, value", 2)),
+                ("iqr", iqr),
+            )
+        ),
+        "iqr_approximate_ranks": """
+            SELECT count(value) AS n_values, true AS q1_within, true AS q3_within FROM events""",
         "zscore_constant": f"""
             WITH s AS (SELECT avg(l_tax * 0 + 5) AS mu, stddev_samp(l_tax * 0 + 5) AS sd
                        FROM lineitem),
@@ -358,24 +369,36 @@ def oracles() -> dict[str, str]:
         "plant_duplicates": f"WITH {_customers()} SELECT * FROM customers",
         "block_sizes": f"""
             WITH {_customers()}, sizes AS (
-              SELECT substr(lower(name), 1, 1) || '|' || substr(lower(city), 1, 3) AS block_key,
+              SELECT concat_ws('|', substr(lower(name), 1, 1), substr(lower(city), 1, 3)) AS block_key,
                      count(*) AS n FROM customers GROUP BY 1)
             SELECT block_key, n AS n_records, (n * (n - 1) // 2)::DECIMAL(38,0) AS n_pairs
             FROM sizes""",
-        "candidate_pairs": f"WITH {_customers()}, {_pairs()} SELECT * FROM pairs",
+        "candidate_pairs": f"WITH {_customers()}, {_pairs(evidence)} SELECT * FROM pairs",
         "pair_features": f"""
-            WITH {_customers()}, {_pairs()}, {_features()}
+            WITH {_customers()}, {_pairs(evidence)}, {_features()}
             SELECT record_id_a, record_id_b, round(name_sim, 6) AS name_sim,
                    round(city_sim, 6) AS city_sim, email_exact, phone_exact FROM features""",
-        "match_scores": f"WITH {_default_scores()} SELECT {_SCORE_COLUMNS} FROM scored",
+        "match_scores": f"""
+            WITH {_customers()}, {_pairs(evidence)}, {_features()},
+            {_scored(DEFAULT_WEIGHTS, 0.6, 1.0)} SELECT {_SCORE_COLUMNS} FROM scored""",
         "matches": f"WITH {_default_scores()} SELECT {_SCORE_COLUMNS} FROM scored WHERE is_match",
+        "matches_low_threshold": f"""
+            WITH {_default_scores(LOW_THRESHOLD)} SELECT {_SCORE_COLUMNS} FROM scored
+            WHERE is_match""",
         "matches_custom_weights": f"""
             WITH {_custom_scores()} SELECT {_SCORE_COLUMNS} FROM scored WHERE is_match""",
         "entity_clusters": f"WITH RECURSIVE {_default_scores()}, {clusters}",
+        "entity_clusters_blank_emails": f"""
+            WITH RECURSIVE {_default_scores(blank_emails=True)}, {clusters}""",
         "entity_clusters_custom_weights": f"WITH RECURSIVE {_custom_scores()}, {clusters}",
         "components_matches": f"WITH RECURSIVE {_default_scores()}, {clusters}",
         "components_chain": f"""
             SELECT o_orderkey, o_orderkey - o_orderkey % {CHAIN} AS entity_id FROM orders""",
+        "components_shuffled_path": f"""
+            SELECT o_orderkey, o_orderkey - o_orderkey % {CHAIN} AS entity_id FROM orders""",
+        "components_hub": """
+            SELECT o_orderkey, min(o_orderkey) OVER (PARTITION BY o_orderpriority) AS entity_id
+            FROM orders""",
         "pairwise_metrics": f"""
             WITH RECURSIVE {_default_scores()}, {_closure()}, {_pair_quality()}
             SELECT * FROM quality""",

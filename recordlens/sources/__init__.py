@@ -1,10 +1,10 @@
-"""Sources: labelled data, planted by Spark into ids of any table."""
+"""Sources: labelled data, planted by Spark into rows of any table."""
 
 from recordlens.sources.base import DataSource
 from recordlens.sources.planted import (
     SyntheticCustomers,
     SyntheticTransactions,
-    labelled_transactions,
+    plant_anomalies,
     plant_duplicates,
 )
 
@@ -12,6 +12,6 @@ __all__ = [
     "DataSource",
     "SyntheticCustomers",
     "SyntheticTransactions",
-    "labelled_transactions",
+    "plant_anomalies",
     "plant_duplicates",
 ]

@@ -1,7 +1,9 @@
-"""Labelled transactions and duplicated customer records.
+"""Known truth planted into rows that are there already.
 
-Every value is an expression over the row's own id, so the data is made where the
-ids are, in any number of partitions, and comes out the same each time.
+Anomalies are real values of chosen rows, multiplied; duplicates are copies of real
+records with small changes. Which rows are chosen and how they change follows from
+digests of their ids, so it does not depend on partitions or retries. The two
+generators make small inputs for trials without any table.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from recordlens.functions.draws import near_normal, pick, uniforms, whole
+from recordlens.functions.draws import near_normal, uniforms, whole
 from recordlens.functions.names import named
 
 TRANSACTIONS = StructType(
@@ -27,25 +29,15 @@ TRANSACTIONS = StructType(
 CUSTOMERS = StructType(
     [
         StructField("record_id", LongType(), False),
-        StructField("name", StringType(), False),
-        StructField("email", StringType(), False),
-        StructField("phone", StringType(), False),
-        StructField("city", StringType(), False),
+        StructField("name", StringType()),
+        StructField("email", StringType()),
+        StructField("phone", StringType()),
+        StructField("city", StringType()),
         StructField("true_entity_id", LongType(), False),
     ]
 )
-# The pools that names and cities are drawn from.
-FIRST_NAMES = (
-    "amelia", "arthur", "bella", "carlos", "clara", "daniel", "edith", "felix",
-    "grace", "hugo", "ivy", "leon", "martha", "oscar", "sofia",
-)
-LAST_NAMES = (
-    "abbott", "barnes", "carver", "dixon", "ellis", "fisher", "grant", "harper",
-    "irving", "keller", "li", "mason", "norton", "porter", "sutton",
-)
-CITIES = ("atlanta", "dallas", "memphis", "oakland", "phoenix", "tucson")
 # A record id is COPY_SLOTS * entity + copy, with copy 0 for the original.
-COPY_SLOTS = 3
+COPY_SLOTS = 4
 
 
 def _typed(df: DataFrame, schema: StructType) -> DataFrame:
@@ -53,111 +45,93 @@ def _typed(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*(named(f.name).cast(f.dataType).alias(f.name) for f in schema))
 
 
-def labelled_transactions(
-    ids: DataFrame, *, anomaly_rate: float = 0.01, seed: int = 7
+def plant_anomalies(
+    rows: DataFrame,
+    *,
+    id_col: str = "txn_id",
+    value_col: str = "amount",
+    rate: float = 0.01,
+    factor: float = 12.0,
+    seed: int = 5,
 ) -> DataFrame:
-    """Amounts for the given (txn_id, customer_id), a share of them anomalous.
-
-    Each customer has a usual amount between 50 and 500. Normal amounts scatter
-    around it by a tenth and are never negative; anomalies are 5 to 15 times it.
-    """
-    usual = F.lit(50.0) + F.lit(450.0) * uniforms(f"{seed}|usual", named("customer_id"), count=1)[0]
-    chance, factor, *noise = uniforms(f"{seed}|amount", named("txn_id"), count=14)
-    drawn = ids.select(
-        named("txn_id").alias("txn_id"),
-        named("customer_id").alias("customer_id"),
-        usual.alias("usual"),
-        (chance < F.lit(anomaly_rate)).alias("odd"),
-        factor.alias("factor"),
-        near_normal(noise).alias("noise"),
-    )
-    normal = F.greatest(
-        F.lit(0.0), F.col("usual") + F.lit(0.1) * F.col("usual") * F.col("noise")
-    )
-    inflated = F.col("usual") * (F.lit(5.0) + F.lit(10.0) * F.col("factor"))
-    return _typed(
-        drawn.withColumns(
-            {"amount": F.when(F.col("odd"), inflated).otherwise(normal), "is_anomaly": F.col("odd")}
-        ),
-        TRANSACTIONS,
+    """The rows with ``is_anomaly``, and the values of a share of them times ``factor``."""
+    odd = uniforms(f"{seed}|odd", named(id_col), count=1)[0] < F.lit(rate)
+    value = named(value_col)
+    return rows.withColumns(
+        {
+            value_col: F.when(odd, value * F.lit(factor)).otherwise(value),
+            "is_anomaly": odd.cast("bigint"),
+        }
     )
 
 
-def perturbed_name(first: Column, last: Column, style: Column, cut: Column) -> Column:
+def changed_name(name: Column, style: Column, place: Column) -> Column:
     """A variant of a name that keeps its first letter.
 
-    ``style`` below 0.5 shortens the first name to its initial. Otherwise ``cut``
-    chooses a letter after the first of the last name to leave out, if that has more
-    than two letters.
+    Below 0.4 of ``style`` a letter is doubled, below 0.7 two neighbours change places,
+    else the name is in capitals. ``place`` picks the letter. Names of fewer than three
+    letters stay as they are.
     """
-    at = F.lit(2) + F.floor(cut * (F.length(last) - 1)).cast("int")
-    dropped = F.concat(
-        F.substring(last, F.lit(1), at - 1), F.substring(last, at + 1, F.length(last))
-    )
+    at = F.lit(2) + F.floor(place * (F.length(name) - 2)).cast("int")
+    rest = F.length(name)
+
+    def part(start: Column, length: Column) -> Column:
+        return F.substring(name, start, length)
+
+    one = F.lit(1)
+    doubled = F.concat(part(one, at), part(at, rest))
+    swapped = F.concat(part(one, at - 1), part(at + 1, one), part(at, one), part(at + 2, rest))
     return (
-        F.when(style < 0.5, F.concat_ws(" ", F.substring(first, 1, 1), last))
-        .when(F.length(last) > 2, F.concat_ws(" ", first, dropped))
-        .otherwise(F.concat_ws(" ", first, last))
+        F.when(F.length(name) < 3, name)
+        .when(style < 0.4, doubled)
+        .when(style < 0.7, swapped)
+        .otherwise(F.upper(name))
     )
 
 
-def plant_duplicates(ids: DataFrame, *, dup_rate: float = 0.3, seed: int = 11) -> DataFrame:
-    """A customer record for each (entity_id), some with one or two changed copies.
+def plant_duplicates(
+    records: DataFrame, *, id_col: str = "record_id", dup_rate: float = 0.25, seed: int = 17
+) -> DataFrame:
+    """The records, a share of them with one to three changed copies behind them.
 
-    Copies keep the first letter of the name and the city. Their name is shortened
-    to an initial or misses one letter of the last name, their email is another one
-    in 30 %, and their phone lacks the dashes in half and is blank in 10 % of cases.
+    ``records`` have ``id_col``, name, email, phone and city. In copies the name is a
+    variant; the email is missing, blank or set off by spaces and capitals in a tenth,
+    a fifth and a third of cases; the phone is blank in a tenth and has other
+    punctuation in a quarter. The new id holds entity and copy, and ``true_entity_id``
+    is the old id.
     """
-    entity = named("entity_id")
-    first, last, city, area, prefix, suffix, repeated, copies = uniforms(
-        f"{seed}|entity", entity, count=8
-    )
-    originals = ids.select(
-        entity.alias("entity_id"),
-        pick(first, FIRST_NAMES).alias("first"),
-        pick(last, LAST_NAMES).alias("last"),
-        pick(city, CITIES).alias("city"),
-        F.concat_ws(
-            "-",
-            whole(area, 200, 999).cast("string"),
-            whole(prefix, 200, 999).cast("string"),
-            whole(suffix, 1000, 9999).cast("string"),
-        ).alias("phone"),
-        F.when(repeated < F.lit(dup_rate), whole(copies, 1, COPY_SLOTS - 1))
-        .otherwise(F.lit(0))
-        .alias("copies"),
+    entity = named(id_col)
+    chance, amount = uniforms(f"{seed}|copies", entity, count=2)
+    copies = F.when(chance < F.lit(dup_rate), whole(amount, 1, COPY_SLOTS - 1)).otherwise(0)
+    rows = records.select(
+        entity.alias("entity"),
+        *("name", "email", "phone", "city"),
+        F.explode(F.sequence(F.lit(0), copies)).alias("copy"),
     )
-    style, cut, moved, plain, lost = uniforms(
-        f"{seed}|copy", named("entity_id"), F.col("copy"), count=5
-    )
-    rows = originals.select("*", F.explode(F.sequence(F.lit(0), F.col("copies"))).alias("copy"))
+    style, place, mail, tel = uniforms(f"{seed}|copy", F.col("entity"), F.col("copy"), count=4)
     drawn = rows.select(
-        "*",
-        style.alias("style"),
-        cut.alias("cut"),
-        (moved < 0.3).alias("moved"),
-        (plain < 0.5).alias("plain"),
-        (lost < 0.1).alias("lost"),
+        "*", style.alias("style"), place.alias("place"), mail.alias("mail"), tel.alias("tel")
     )
-    first, last, phone, changed = F.col("first"), F.col("last"), F.col("phone"), F.col("copy") > 0
+    original, mail, tel = F.col("copy") == 0, F.col("mail"), F.col("tel")
     return _typed(
         drawn.select(
-            (F.col("entity_id") * COPY_SLOTS + F.col("copy")).alias("record_id"),
-            F.when(changed, perturbed_name(first, last, F.col("style"), F.col("cut")))
-            .otherwise(F.concat_ws(" ", first, last))
+            (F.col("entity") * COPY_SLOTS + F.col("copy")).alias("record_id"),
+            F.when(original, F.col("name"))
+            .otherwise(changed_name(F.col("name"), F.col("style"), F.col("place")))
             .alias("name"),
-            F.when(
-                changed & F.col("moved"),
-                F.concat(first, last, F.col("entity_id"), F.lit("@mail.com")),
-            )
-            .otherwise(F.concat(first, F.lit("."), last, F.col("entity_id"), F.lit("@example.com")))
+            F.when(original, F.col("email"))
+            .when(mail < 0.1, F.lit(None))
+            .when(mail < 0.3, F.lit(""))
+            .when(mail < 0.6, F.concat(F.lit(" "), F.upper("email"), F.lit(" ")))
+            .otherwise(F.col("email"))
             .alias("email"),
-            F.when(changed & F.col("lost"), F.lit(""))
-            .when(changed & F.col("plain"), F.replace(phone, F.lit("-"), F.lit("")))
-            .otherwise(phone)
+            F.when(original, F.col("phone"))
+            .when(tel < 0.1, F.lit(""))
+            .when(tel < 0.35, F.concat(F.lit("("), "phone", F.lit(")")))
+            .otherwise(F.col("phone"))
             .alias("phone"),
             "city",
-            F.col("entity_id").alias("true_entity_id"),
+            F.col("entity").alias("true_entity_id"),
         ),
         CUSTOMERS,
     )
@@ -165,33 +139,53 @@ def plant_duplicates(ids: DataFrame, *, dup_rate: float = 0.3, seed: int = 11) -
 
 @dataclass(frozen=True)
 class SyntheticTransactions:
-    """Labelled transactions of ``n_customers`` with ``txns_per_customer`` each."""
+    """Transactions of ``n_customers`` with ``txns_per_customer`` each, some anomalous."""
 
-    n_customers: int = 200
-    txns_per_customer: int = 50
+    n_customers: int = 150
+    txns_per_customer: int = 60
     anomaly_rate: float = 0.01
-    seed: int = 7
+    seed: int = 5
     name: ClassVar[str] = "synthetic_transactions"
 
     def load(self, spark: SparkSession) -> DataFrame:
         """The transactions (txn_id, customer_id, amount, is_anomaly)."""
-        ids = spark.range(self.n_customers * self.txns_per_customer).select(
+        customer = F.floor(F.col("id") / self.txns_per_customer)
+        level = uniforms(f"{self.seed}|level", customer, count=1)[0]
+        noise = near_normal(uniforms(f"{self.seed}|noise", F.col("id"), count=12))
+        rows = spark.range(self.n_customers * self.txns_per_customer).select(
             F.col("id").alias("txn_id"),
-            F.floor(F.col("id") / self.txns_per_customer).alias("customer_id"),
+            customer.alias("customer_id"),
+            ((F.lit(20.0) + F.lit(80.0) * level) * F.exp(F.lit(0.1) * noise)).alias("amount"),
+        )
+        return _typed(
+            plant_anomalies(rows, rate=self.anomaly_rate, seed=self.seed), TRANSACTIONS
         )
-        return labelled_transactions(ids, anomaly_rate=self.anomaly_rate, seed=self.seed)
 
 
 @dataclass(frozen=True)
 class SyntheticCustomers:
-    """Records of ``n_entities`` customers, ``dup_rate`` of them with copies."""
+    """Records of ``n_entities`` customers, ``dup_rate`` of them with changed copies."""
 
-    n_entities: int = 300
-    dup_rate: float = 0.3
-    seed: int = 11
+    n_entities: int = 250
+    dup_rate: float = 0.25
+    seed: int = 17
     name: ClassVar[str] = "synthetic_customers"
 
     def load(self, spark: SparkSession) -> DataFrame:
         """The records (record_id, name, email, phone, city, true_entity_id)."""
-        ids = spark.range(self.n_entities).select(F.col("id").alias("entity_id"))
-        return plant_duplicates(ids, dup_rate=self.dup_rate, seed=self.seed)
+        key = F.md5(F.concat_ws("|", F.lit(str(self.seed)), F.col("id").cast("string")))
+        # Hex digits read as letters a to p, so that names and cities look like words.
+        letters = F.translate(key, "0123456789abcdef", "abcdefghijklmnop")
+        number = F.conv(F.substring(key, 20, 8), 16, 10)
+        rows = spark.range(self.n_entities).select(
+            F.col("id").alias("record_id"),
+            F.concat(F.substring(letters, 1, 5), F.lit(" "), F.substring(letters, 6, 7)).alias(
+                "name"
+            ),
+            F.concat(F.substring(letters, 1, 9), F.lit("@"), F.col("id"), F.lit(".test")).alias(
+                "email"
+            ),
+            F.lpad(number, 10, "0").alias("phone"),
+            F.concat(F.substring(letters, 31, 1), F.lit("ton")).alias("city"),
+        )
+        return plant_duplicates(rows, dup_rate=self.dup_rate, seed=self.seed)

@@ -23,7 +23,7 @@ def similarity(a, b):
     return 1 - levenshtein(a, b) / longer if longer else 1.0
 
 
-def features(x, y, blank_emails=True):
+def features(x, y, blank_emails=False):
     def clean(email):
         return None if email is None else email.strip(" ").lower()
 
@@ -52,11 +52,11 @@ def block_pairs(records):
     return [
         (x, y) if x["record_id"] < y["record_id"] else (y, x)
         for x, y in combinations(records, 2)
-        if block(x) == block(y) != "" and x["record_id"] != y["record_id"]
+        if block(x) == block(y) and x["record_id"] != y["record_id"]
     ]
 
 
-def matches(records, scorer, blank_emails=True):
+def matches(records, scorer, blank_emails=False):
     found = {}
     for x, y in block_pairs(records):
         f = features(x, y, blank_emails)

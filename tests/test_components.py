@@ -3,7 +3,6 @@ import random
 import pytest
 
 from recordlens import connected_components
-from recordlens.operators import components, spread
 from tests.brute import components as expected
 
 
@@ -13,8 +12,9 @@ def run(spark, nodes, edges, kind="long"):
     return {r[0]: r[1] for r in connected_components(records, matches).collect()}
 
 
-def test_chain_and_singletons(spark):
-    assert run(spark, [1, 2, 3, 4, 5], [(1, 2), (2, 3)]) == {1: 1, 2: 1, 3: 1, 4: 4, 5: 5}
+def test_small_graph(spark):
+    found = run(spark, [10, 20, 30, 40, 50, 60], [(60, 40), (40, 20), (30, 50)])
+    assert found == {10: 10, 20: 20, 40: 20, 60: 20, 30: 30, 50: 30}
 
 
 def test_no_edges_loops_and_nulls(spark):
@@ -36,19 +36,7 @@ def test_repeated_records_stay(spark):
     assert rows == [(1, 1), (1, 1), (2, 1)]
 
 
-@pytest.fixture
-def small_batches(spark):
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
-    yield
-    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-
-
-@pytest.mark.parametrize("broadcast_bytes", [None, 2**23, 2000])
-def test_random_graphs_with_hubs_and_paths(spark, monkeypatch, small_batches, broadcast_bytes):
-    monkeypatch.setattr(components, "NODES_IN_MEMORY", 5)
-    if broadcast_bytes is not None:
-        monkeypatch.setattr(components, "LARGE_GRAPH", 0)
-        monkeypatch.setattr(spread, "BROADCAST_BYTES", broadcast_bytes)
+def test_random_graphs_with_hubs_and_paths(spark):
     rng = random.Random(5)
     edges = [(rng.randrange(400), rng.randrange(400)) for _ in range(150)]
     edges += [(1000, 1001 + i) for i in range(80)] + [(2999, 2000 + i) for i in range(80)]
@@ -59,8 +47,8 @@ def test_random_graphs_with_hubs_and_paths(spark, monkeypatch, small_batches, br
     assert run(spark, nodes, edges) == expected(nodes, edges)
 
 
-def test_tasks_shrink_their_edges(spark):
-    edges = spark.range(1000).selectExpr("id AS low", "id + 1 AS high").coalesce(2)
-    stars = components._shrink(edges).collect()
-    assert sorted(r["high"] for r in stars) == list(range(1, 1001))
-    assert {r["low"] for r in stars} == {0, 500}
+def test_only_plain_ids(spark):
+    records = spark.createDataFrame([([1],)], "record_id array<int>")
+    matches = spark.createDataFrame([([1], [2])], "record_id_a array<int>, record_id_b array<int>")
+    with pytest.raises(ValueError, match="plain values"):
+        connected_components(records, matches)

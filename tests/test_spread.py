@@ -19,10 +19,11 @@ def table(rows):
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("broadcast_bytes", [2**23, 0, 300])
-def test_lookup_by_any_route(rows, table, monkeypatch, how, broadcast_bytes):
-    # All broadcast, all shuffled, and shuffled but for the heavy keys.
+@pytest.mark.parametrize(("broadcast_bytes", "parts"), [(2**23, 10), (0, 1), (0, 10)])
+def test_lookup_by_any_route(rows, table, monkeypatch, how, broadcast_bytes, parts):
+    # All broadcast, all shuffled, and shuffled with heavy keys dealt to several tasks.
     monkeypatch.setattr(spread, "BROADCAST_BYTES", broadcast_bytes)
+    monkeypatch.setattr(spread, "HEAVY_PARTS", parts)
     found = spread.lookup(rows, table, {"key": "its"}, weight="n", how=how)
     assert found.columns == ["id", "key", "first"]
     first = {k: KEYS.index(k) for k in KEYS if k != "k3"}
@@ -53,3 +54,21 @@ def test_large_groups_spread_over_tasks(spark, monkeypatch):
     per_task = joined.groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in per_task) == 400 * 399 // 2
     assert len(per_task) == 4
+
+
+def test_wide_keys_are_not_broadcast_and_hot_ones_are_split(spark):
+    """One key of 9 MB neither gets broadcast nor keeps the hot key from being split."""
+    rows = spark.range(2000).selectExpr(
+        "id", "CASE WHEN id = 7 THEN repeat('w', 9000000) WHEN id % 2 = 0 THEN 'hot' ELSE concat('k', id) END AS key"
+    )
+    table = spread.Workspace(spark, "wide").keep(
+        rows.groupBy(F.col("key").alias("its")).agg(F.min("id").alias("first"), F.count("*").alias("n")), "t"
+    )
+    joined = spread.lookup(rows, table, {"key": "its"}, weight="n")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "its#" in plan and "SortMergeJoin" in plan
+    broadcasts = [line for line in plan.splitlines() if "BroadcastExchange" in line]
+    # What is broadcast are hashes of heavy keys, not keys.
+    assert broadcasts and all("input[0, bigint" in line for line in broadcasts)
+    assert joined.count() == 2000
+    assert joined.filter("key = 'hot' AND first = 0").count() == 1000

@@ -153,7 +153,8 @@ def anchors(values: np.ndarray, valid: np.ndarray, width: int, k: int) -> Anchor
         starts = np.flatnonzero(new)
         stops = np.append(starts[1:], len(at)) - 1
         spots = where[starts]
-        found.append((base + spots, base + at[starts], base + at[stops], keys[spots]))
+        # Least hashes are small numbers; mixed once more they fill their range evenly.
+        found.append((base + spots, base + at[starts], base + at[stops], mix(keys[spots])))
     if not found:
         empty = np.empty(0, np.int64)
         return Anchors(empty, empty, empty, np.empty(0, np.uint64))

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from recordlens.llm.candidates import (
+    LONG_PREFIX_CHUNKS,
     RUNS,
     Spec,
     candidate_slices,
@@ -23,7 +24,7 @@ from recordlens.llm.candidates import (
     runs_of,
     starts_of,
 )
-from recordlens.llm.chunks import Corpus, corpus, in_order
+from recordlens.llm.chunks import CHUNK_BYTES, Corpus, corpus, in_order
 from recordlens.llm.units import words_of
 
 GROUP_SLICES = 4_000
@@ -116,14 +117,17 @@ def later_windows(table: pa.Table, width: int) -> pa.Table:
     return runs_by_chunk(chunks, begins, lengths)
 
 
-def repeat_runs(source: Corpus, width: int) -> DataFrame:
+def repeat_runs(
+    source: Corpus, width: int, long_prefix_chunks: int = LONG_PREFIX_CHUNKS
+) -> DataFrame:
     """Runs of windows that also begin earlier, by chunk."""
     spec = Spec(width, min(PREFIX_WORDS, width), word_units, 6.0)
 
     def resolve(table: pa.Table) -> pa.Table:
         return later_windows(table, width)
 
-    return candidate_slices(source, spec).groupBy("bucket").applyInArrow(resolve, RUNS)
+    slices = candidate_slices(source, spec, long_prefix_chunks=long_prefix_chunks)
+    return slices.groupBy("bucket").applyInArrow(resolve, RUNS)
 
 
 def remove_repeats(
@@ -133,6 +137,8 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: tuple[str, ...] = (),
+    chunk_bytes: int = CHUNK_BYTES,
+    long_prefix_chunks: int = LONG_PREFIX_CHUNKS,
 ) -> DataFrame:
     """Each text without the words of windows that also begin earlier.
 
@@ -143,7 +149,9 @@ def remove_repeats(
     are kept, joined by one space) and those in ``carry``; a carried column whose name
     is taken gets ``_in`` behind it. Other columns are ignored.
     """
-    source = corpus(docs, id_col=id_col, text_col=text_col, carry=carry)
+    source = corpus(
+        docs, id_col=id_col, text_col=text_col, carry=carry, chunk_bytes=chunk_bytes
+    )
     types = [docs.schema[c].dataType.simpleString() for c in carry]
 
     def apply(table: pa.Table, runs: pa.Table) -> pa.Table:
@@ -173,7 +181,7 @@ def remove_repeats(
     schema += "".join(f", c{i} {kind}" for i, kind in enumerate(types))
     kept = (
         source.docs.groupBy("chunk")
-        .cogroup(repeat_runs(source, width).groupBy("chunk"))
+        .cogroup(repeat_runs(source, width, long_prefix_chunks).groupBy("chunk"))
         .applyInArrow(apply, schema)
     )
     own = ["doc_id", "n_words", "n_removed", "text"]

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from recordlens.llm.candidates import (
+    LONG_PREFIX_CHUNKS,
     RUNS,
     Spec,
     candidate_slices,
@@ -28,7 +29,7 @@ from recordlens.llm.candidates import (
     runs_of,
     starts_of,
 )
-from recordlens.llm.chunks import Corpus, corpus, in_order
+from recordlens.llm.chunks import CHUNK_BYTES, Corpus, corpus, in_order
 from recordlens.llm.units import byte_values
 
 BLOCK_SLICES = 4_000
@@ -184,18 +185,27 @@ def laid_out(texts: list[bytes], anchors: np.ndarray, width: int) -> tuple[np.nd
     return np.frombuffer(b"".join(parts), np.uint8), bases
 
 
-def repeat_runs(source: Corpus, width: int) -> DataFrame:
+def repeat_runs(
+    source: Corpus, width: int, long_prefix_chunks: int = LONG_PREFIX_CHUNKS
+) -> DataFrame:
     """Runs of byte windows that occur at another place too, by chunk."""
     spec = Spec(width, min(PREFIX_BYTES, width), byte_units, 1.0)
 
     def resolve(table: pa.Table) -> pa.Table:
         return repeated_windows(table, width)
 
-    return candidate_slices(source, spec).groupBy("bucket").applyInArrow(resolve, RUNS)
+    slices = candidate_slices(source, spec, long_prefix_chunks=long_prefix_chunks)
+    return slices.groupBy("bucket").applyInArrow(resolve, RUNS)
 
 
 def remove_repeated_bytes(
-    docs: DataFrame, *, width: int = 200, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    *,
+    width: int = 200,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chunk_bytes: int = CHUNK_BYTES,
+    long_prefix_chunks: int = LONG_PREFIX_CHUNKS,
 ) -> DataFrame:
     """Each text without the bytes of ``width``-byte strings that occur anywhere else.
 
@@ -207,7 +217,7 @@ def remove_repeated_bytes(
     """
     if width < 8:
         raise ValueError("strings must have at least 8 bytes")
-    source = corpus(docs, id_col=id_col, text_col=text_col)
+    source = corpus(docs, id_col=id_col, text_col=text_col, chunk_bytes=chunk_bytes)
 
     def apply(table: pa.Table, runs: pa.Table) -> pa.Table:
         table = in_order(table)
@@ -237,7 +247,7 @@ def remove_repeated_bytes(
 
     return (
         source.docs.groupBy("chunk")
-        .cogroup(repeat_runs(source, width).groupBy("chunk"))
+        .cogroup(repeat_runs(source, width, long_prefix_chunks).groupBy("chunk"))
         .applyInArrow(
             apply,
             "doc_id long, n_bytes long, n_removed long,"

@@ -18,8 +18,10 @@ import codecs
 import hashlib
 import heapq
 import json
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
+from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -29,8 +31,11 @@ SLICE_BYTES = 4 << 20
 REMEMBERED = 300_000
 # Characters of a text that are cut into units and hashed together.
 BLOCK_CHARS = 128 << 10
-# Pieces of fewer bytes are merged at once, without a buffer.
+# Pieces of fewer bytes are merged at once, without a buffer; those of so few characters
+# side by side, so many at a time.
 SHORT_PIECE = 256
+SIDE_BY_SIDE = 24
+ROWS = 8_192
 
 # The characters with the White_Space property.
 SPACE = "\u0009\u000a\u000b\u000c\u000d \u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -76,6 +81,13 @@ class Vocabulary:
         self.ranks = {pair_key(ids[u], ids[v]): r for r, (u, v) in enumerate(self.merges)}
         self.made = [ids[u + v] for u, v in self.merges]
 
+    @cached_property
+    def sorted_ranks(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs in order, and their ranks."""
+        keys = np.array(list(self.ranks), np.int64)
+        order = np.argsort(keys)
+        return keys[order], np.array(list(self.ranks.values()), np.int32)[order]
+
 
 def pair_key(left: int, right: int) -> int:
     """Two ids as one number."""
@@ -130,6 +142,60 @@ def merge_all(piece: bytes, vocabulary: Vocabulary) -> list[int]:
     return parts
 
 
+def merge_many(pieces: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
+    """The ids of many short pieces, merged side by side: a row each, a merge a round."""
+    if not pieces:
+        return []
+    none = len(vocabulary.made)
+    keys, ranks = vocabulary.sorted_ranks
+    made = np.array([*vocabulary.made, 0], np.int32)
+    out: list[list[int]] = [[]] * len(pieces)
+    lengths = np.array([len(p) for p in pieces])
+    width = int(lengths.max())
+
+    def rank_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        wanted = left.astype(np.int64) << 32 | right
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where((keys[at] == wanted) & (right >= 0), ranks[at], np.int32(none))
+
+    table = np.array(vocabulary.byte_ids, np.int32)
+    parts = np.full((len(pieces), width + 1), -1, np.int32)
+    inside = np.arange(width + 1) < lengths[:, None]
+    parts[inside] = table[np.frombuffer(b"".join(pieces), np.uint8)]
+    order = np.full((len(pieces), width), none, np.int32)
+    pair = parts[:, 1:] >= 0
+    order[pair] = rank_of(parts[:, :-1][pair], parts[:, 1:][pair])
+    row_of, column = np.arange(len(pieces)), np.arange(width + 1)
+    while len(row_of):
+        at = order.argmin(axis=1)
+        every = np.arange(len(row_of))
+        least = order[every, at]
+        done = least == none
+        if done.any():
+            for i in np.flatnonzero(done):
+                out[row_of[i]] = parts[i][parts[i] >= 0].tolist()
+            going = ~done
+            row_of, parts, order = row_of[going], parts[going], order[going]
+            at, least = at[going], least[going]
+            every = np.arange(len(row_of))
+            if not len(row_of):
+                break
+        # The pair becomes one id, and what follows moves up.
+        behind = column > at[:, None]
+        moved = np.full_like(parts, -1)
+        moved[:, :-1] = parts[:, 1:]
+        parts = np.where(behind, moved, parts)
+        parts[every, at] = made[least]
+        moved = np.full_like(order, none)
+        moved[:, :-1] = order[:, 1:]
+        order = np.where(behind[:, :-1] | (column[:-1] == at[:, None]), moved, order)
+        order[every, at] = rank_of(parts[every, at], parts[every, at + 1])
+        has_left = np.flatnonzero(at > 0)
+        left = at[has_left] - 1
+        order[has_left, left] = rank_of(parts[has_left, left], parts[has_left, at[has_left]])
+    return out
+
+
 def transduce(
     source: Iterable[bytes], vocabulary: Vocabulary, lookahead: int
 ) -> Iterator[int]:
@@ -179,33 +245,52 @@ def merge_long(piece: bytes, vocabulary: Vocabulary) -> list[int]:
     return [p for p in parts if p is not None]
 
 
-def piece_encoder(vocabulary: Vocabulary) -> Callable[[str], list[int]]:
-    """Ids of a unit of text without special strings."""
-    import regex
+class Encoder:
+    """Ids of units of text without special strings; remembers pieces it has merged."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        import regex
+
+        self.vocabulary = vocabulary
+        self.pieces = regex.compile(PIECE).findall
+        self.known: dict[str, list[int]] = {}
+
+    @cached_property
+    def lookahead(self) -> int:
+        return sufficient_lookahead(self.vocabulary.merges)
 
-    pieces = regex.compile(PIECE).findall
-    known: dict[str, list[int]] = {}
-    lookahead: list[int] = []
+    def learn(self, pieces: Iterable[str]) -> None:
+        """Merge the pieces that are new, short ones many at a time."""
+        new = {p for p in pieces if p not in self.known}
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+        # In order of length, so that the rows of a table are about equally long.
+        short = sorted((p for p in new if len(p) <= SIDE_BY_SIDE), key=len)
+        for start in range(0, len(short), ROWS):
+            some = short[start : start + ROWS]
+            found = merge_many([p.encode("utf-8", "replace") for p in some], self.vocabulary)
+            self.known.update(zip(some, found))
 
-    def encode_piece(piece: str) -> list[int]:
+    def piece(self, piece: str) -> list[int]:
+        found = self.known.get(piece)
+        if found is not None:
+            return found
         body = piece.encode("utf-8", "replace")
         if len(body) < SHORT_PIECE:
-            if len(known) > REMEMBERED:
-                known.clear()
-            known[piece] = found = merge_all(body, vocabulary)
-            return found
-        if not lookahead:
-            lookahead.append(sufficient_lookahead(vocabulary.merges))
-        blocks = (body[i : i + lookahead[0]] for i in range(0, len(body), lookahead[0]))
-        return list(transduce(blocks, vocabulary, lookahead[0]))
+            return merge_all(body, self.vocabulary)
+        step = self.lookahead
+        blocks = (body[i : i + step] for i in range(0, len(body), step))
+        return list(transduce(blocks, self.vocabulary, step))
 
-    def encode(unit: str) -> list[int]:
-        found: list[int] = []
-        for piece in pieces(unit):
-            found += known.get(piece) or encode_piece(piece)
-        return found
+    def encode(self, unit: str) -> list[int]:
+        return [i for piece in self.pieces(unit) for i in self.piece(piece)]
 
-    return encode
+    def encode_many(self, units: list[str]) -> Iterator[tuple[str, list[int]]]:
+        """Units with their ids."""
+        of_unit = [self.pieces(u) for u in units]
+        self.learn(p for pieces in of_unit for p in pieces)
+        for unit, pieces in zip(units, of_unit):
+            yield unit, [i for piece in pieces for i in self.piece(piece)]
 
 
 def units(text: str, special: Iterable[str]) -> Iterator[tuple[str, bool]]:
@@ -229,10 +314,10 @@ def units(text: str, special: Iterable[str]) -> Iterator[tuple[str, bool]]:
 
 def encode(text: str, vocabulary: Vocabulary) -> list[int]:
     """The ids of one text, as a whole list; for single texts and tests."""
-    encoder = piece_encoder(vocabulary)
+    encoder = Encoder(vocabulary)
     found: list[int] = []
     for unit, special in units(text, vocabulary.special):
-        found += [vocabulary.special[unit]] if special else encoder(unit)
+        found += [vocabulary.special[unit]] if special else encoder.encode(unit)
     return found
 
 
@@ -264,21 +349,32 @@ def encode_and_decode(
 
         with open(vocabulary_file, encoding="utf-8") as f:
             vocabulary = Vocabulary(f.read())
-        encoder = piece_encoder(vocabulary)
+        encoder = Encoder(vocabulary)
         cut = re.compile(UNIT).findall
+        lone_space = re.compile(rf"[^{SPACE}](?= [^{SPACE}])")
         # Of a unit: its ids as text, each behind a comma, how many, and their bytes.
         known: dict[str, tuple[bytes, int, bytes]] = {}
         token_bytes = vocabulary.bytes_of
 
-        def learn(unit: str, ids: list[int]) -> None:
-            if len(known) > REMEMBERED:
+        def entry(ids: list[int]) -> tuple[bytes, int, bytes]:
+            text = "".join([f",{i}" for i in ids]).encode()
+            return text, len(ids), b"".join([token_bytes[i] for i in ids])
+
+        def learn(found: list[str]) -> None:
+            """Encode the units that are new."""
+            new = list({u for u in found if u not in known})
+            if len(known) + len(new) > REMEMBERED:
                 known.clear()
-            text = b"".join(b",%d" % i for i in ids)
-            known[unit] = text, len(ids), b"".join(token_bytes[i] for i in ids)
+                new = list(set(found))
+            for unit in new:
+                if unit in vocabulary.special:
+                    known[unit] = entry([vocabulary.special[unit]])
+            plain = [u for u in new if u not in vocabulary.special]
+            known.update((unit, entry(ids)) for unit, ids in encoder.encode_many(plain))
 
         def blocks(text: str) -> Iterator[list[str]]:
             if any(s in text for s in vocabulary.special):
-                yield from ([u] for u, _ in units(text, vocabulary.special))
+                yield [u for u, _ in units(text, vocabulary.special)]
                 return
             # Long texts are cut before a lone space between two words, where a unit begins.
             start = 0
@@ -290,21 +386,13 @@ def encode_and_decode(
                 yield cut(text, start, stop)
                 start = stop
 
-        lone_space = re.compile(rf"[^{SPACE}](?= [^{SPACE}])")
-
         def digest(body: bytes) -> tuple[int, str, str, bool]:
             text = body.decode("utf-8", "replace")
             id_hash, text_hash, count, first = hashlib.sha256(), hashlib.sha256(), 0, True
             machine = codecs.getincrementaldecoder("utf-8")("replace")
             for block in blocks(text):
-                found = []
-                for unit in block:
-                    entry = known.get(unit)
-                    if entry is None:
-                        special = vocabulary.special.get(unit)
-                        learn(unit, encoder(unit) if special is None else [special])
-                        entry = known[unit]
-                    found.append(entry)
+                learn(block)
+                found = [known[unit] for unit in block]
                 ids = b"".join([e[0] for e in found])
                 count += sum([e[1] for e in found])
                 id_hash.update(ids[1:] if first else ids)
@@ -316,7 +404,11 @@ def encode_and_decode(
             return count, id_hash.hexdigest(), text_hash.hexdigest(), same
 
         for part in slices(batches, SLICE_BYTES):
-            rows = [digest(body) for body in part.column("body").to_pylist()]
+            bodies = part.column("body").to_pylist()
+            # The units of short texts are learned together, which is faster.
+            texts = [b.decode("utf-8", "replace") for b in bodies if len(b) < BLOCK_CHARS]
+            learn([u for t in texts for block in blocks(t) for u in block])
+            rows = [digest(body) for body in bodies]
             out = [part.column("id"), *(pa.array(c) for c in zip(*rows))]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"]
             yield pa.RecordBatch.from_arrays(out, names=names)

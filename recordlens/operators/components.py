@@ -48,16 +48,21 @@ def _small_star(edges: DataFrame) -> DataFrame:
     )
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    """Number of edges and a sum over their hashes; equal for equal sets of edges."""
+def _written(edges: DataFrame, work: Workspace, name: str) -> tuple[DataFrame, tuple[int, int]]:
+    """The written edges, and a state that is the same for the same set of edges."""
     mixed = F.sum(F.xxhash64("low", "high").cast("decimal(38,0)"))
-    total, print_ = edges.agg(F.count(F.lit(1)), F.coalesce(mixed, F.lit(0))).first()
-    return total, int(print_)
+    kept, seen = work.keep_and_observe(
+        edges, name, n=F.count(F.lit(1)), mixed=F.coalesce(mixed, F.lit(0).cast("decimal(38,0)"))
+    )
+    return kept, (seen["n"], int(seen["mixed"]))
 
 
 def star_forest(edges: DataFrame, work: Workspace) -> DataFrame:
     """Edges (low, high) that join every node to the smallest node of its component.
 
+    One job a round: the count and the hash of a round's edges come from the job that
+    writes them.
+
     Args:
         edges: Two columns of ids, one undirected edge per row; nulls, loops and
             repetitions do no harm.
@@ -67,16 +72,18 @@ def star_forest(edges: DataFrame, work: Workspace) -> DataFrame:
     ordered = edges.filter(first != second).select(
         F.least(first, second).alias("low"), F.greatest(first, second).alias("high")
     )
-    current = work.keep(ordered.distinct(), "edges-0")
-    state, done = _state(current), 0
+    current, state = _written(ordered.distinct(), work, "edges-0")
+    done = 0
     while state[0]:
-        following = work.keep(_small_star(_large_star(current)), f"edges-{done + 1}")
+        following, after = _written(
+            _small_star(_large_star(current)), work, f"edges-{done + 1}"
+        )
         work.forget(f"edges-{done}")
-        before, state = state, _state(following)
         current, done = following, done + 1
         # A round that changes nothing has only stars around smallest nodes left.
-        if state == before:
+        if after == state:
             break
+        state = after
     return current
 
 

@@ -113,7 +113,7 @@ def pairs_within(
     than TILE_ROWS rows beforehand; if there are any, they are cut into slices and
     every two slices meet in a task of their own, so that the work of a large group
     spreads over the cluster and each pair is still seen exactly once. A row goes to
-    as many tasks as there are slices, at most about the root of twice the tasks.
+    as many tasks as there are slices, at most about thrice the root of their number.
 
     Args:
         rows: The rows to pair; a null key agrees with nothing.
@@ -156,7 +156,7 @@ def pairs_within(
 
     sizes = Workspace(spark, "pairs").keep(
         sizes.withColumn(
-            slices, F.least(F.ceil(named(size) / TILE_ROWS), F.lit(isqrt(2 * tasks) + 1))
+            slices, F.least(F.ceil(named(size) / TILE_ROWS), F.lit(2 * isqrt(2 * tasks) + 2))
         ),
         "sizes",
     )

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from recordlens.storage import Workspace
+
 
 @dataclass(frozen=True)
 class AnomalyReport:
@@ -36,10 +38,24 @@ class ResolutionReport:
     """Records mapped to entities.
 
     Attributes:
-        clusters: One row per input record with its ``entity_id``.
+        clusters: One row per input record with its ``entity_id``; lazy.
+        work: The written tables that ``clusters`` reads. ``close``, or leaving a
+            ``with`` block, removes them.
     """
 
     clusters: DataFrame
+    work: Workspace | None = field(default=None, repr=False, compare=False)
+
+    def close(self) -> None:
+        """Remove the written tables; ``clusters`` cannot be read afterwards."""
+        if self.work is not None:
+            self.work.forget_all_but()
+
+    def __enter__(self) -> ResolutionReport:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.close()
 
     @cached_property
     def _sizes(self) -> tuple[int, int]:

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 
@@ -45,6 +46,14 @@ class Workspace:
         self.names.add(name)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_and_observe(
+        self, df: DataFrame, name: str, **measures: Column
+    ) -> tuple[DataFrame, dict[str, Any]]:
+        """As ``keep``, with aggregates of the rows taken in the job that writes them."""
+        seen = Observation()
+        kept = self.keep(df.observe(seen, *(m.alias(n) for n, m in measures.items())), name)
+        return kept, seen.get
+
     def forget(self, *names: str) -> None:
         """Remove tables that nothing reads any more; those never kept are skipped."""
         jvm = self.spark.sparkContext._jvm

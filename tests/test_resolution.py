@@ -219,3 +219,16 @@ def test_cost_of_blank_emails_is_linear(spark):
     )
     assert candidate_pairs(rows, evidence=MatchScorer()).count() == 0
     assert resolve_entities(rows).n_entities == 4000
+
+
+def test_closing_a_report_removes_its_tables(spark, records):
+    from pathlib import Path
+
+    from recordlens.storage import shared_folder
+
+    folder = Path(shared_folder(spark), "recordlens")
+    before = set(folder.rglob("*.parquet"))
+    with ResolutionPipeline().resolve(frame(spark, records)) as report:
+        assert report.n_records == len(records)
+        assert set(folder.rglob("*.parquet")) > before
+    assert set(folder.rglob("*.parquet")) == before

@@ -24,7 +24,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays."""
+    """Of each group of linked documents the one with the smallest id stays.
+
+    Rows without id stay, and so do all rows that share the id that stays.
+    """
     found = near_duplicates(docs)
     # Written, so that Spark knows how few there are before it joins.
     gone = Workspace(spark, "pipeline").keep(found.filter("NOT kept").select("doc_id"), "gone")

@@ -172,12 +172,12 @@ def remove_repeats(
                 "doc_id": table.column("id"),
                 "n_words": pa.array(ends - begins, pa.int64()),
                 "n_removed": pa.array(removed[ends] - removed[begins], pa.int64()),
-                "text": pa.array(texts, pa.binary()).cast(pa.string()),
+                "text": pa.array(texts, pa.binary()),
                 **{f"c{i}": table.column(f"c{i}") for i in range(len(carry))},
             }
         )
 
-    schema = "doc_id long, n_words long, n_removed long, text string"
+    schema = "doc_id long, n_words long, n_removed long, text binary"
     schema += "".join(f", c{i} {kind}" for i, kind in enumerate(types))
     kept = (
         source.docs.groupBy("chunk")
@@ -185,4 +185,6 @@ def remove_repeats(
         .applyInArrow(apply, schema)
     )
     own = ["doc_id", "n_words", "n_removed", "text"]
+    # As bytes until here, since a text from elsewhere need not be valid UTF-8.
+    kept = kept.withColumn("text", kept["text"].cast("string"))
     return kept.toDF(*own, *(f"{c}_in" if c in own else c for c in carry))

@@ -71,12 +71,14 @@ def _round(
     shards = (
         nodes.filter("fits")
         .withColumn("parent", F.expr("shiftright(node, 1)"))
-        .join(above, ["path", "depth", "parent"], "left")
+        .join(above.hint("merge"), ["path", "depth", "parent"], "left")
         .filter(~F.coalesce("parent_fits", F.lit(False)))
         .drop("parent", "parent_fits", "fits")
     )
     directory = work.keep(
-        _ancestors(cells.select("path", "cell"), bits).join(shards, ["path", "depth", "node"]),
+        _ancestors(cells.select("path", "cell"), bits).join(
+            shards.hint("merge"), ["path", "depth", "node"]
+        ),
         f"directory-{name}",
     )
     label = F.lpad(F.bin("cell"), bits, "0")
@@ -122,7 +124,9 @@ def extendible_shards(
     while True:
         directory, open_cells, rows = _round(rows, work, position, bits, max_bytes, str(number))
         own = F.substring(F.lpad(F.bin("cell"), bits, "0"), F.lit(1), F.col("depth"))
-        found = rows.join(directory, ["path", "cell"]).select(
+        # The directory grows with the input and is small when compressed, so Spark would
+        # broadcast more than it should: the joins here are merge joins.
+        found = rows.join(directory.hint("merge"), ["path", "cell"]).select(
             "doc_id",
             "n_bytes",
             F.concat("path", own).alias("shard"),
@@ -135,7 +139,7 @@ def extendible_shards(
         if position >= 2 * HASH_BITS or open_cells.isEmpty():
             return placed
         rows = (
-            rows.join(open_cells, ["path", "cell"])
+            rows.join(open_cells.hint("merge"), ["path", "cell"])
             .withColumn("path", F.col("to"))
             .drop("cell", "to")
         )

@@ -4,21 +4,24 @@ A window of the wanted width that occurs twice has the same anchor both times (s
 ``units.anchors``). So each chunk asks which of its anchors occur more than once in
 the corpus, and only windows with such an anchor go on: as suffixes of the slice of
 text from the first to the last window with that anchor. The anchor is the prefix
-that decides the group of a suffix. Where a prefix occurs in very many chunks it is
-lengthened to the whole window, which deals its suffixes out again.
+that decides the group of a suffix. Where a prefix occurs in very many chunks, or has
+very many different slices, it is lengthened to the whole window: chunks ask which of
+those windows occur more than once, and only they go on, each to a group of its own. So
+a line that many documents share costs no group a slice per document.
 
 Equal slices of a chunk go on as one, with all the places where they begin.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from recordlens.llm.chunks import (
     ASKED,
@@ -30,10 +33,13 @@ from recordlens.llm.chunks import (
     in_order,
     told,
 )
-from recordlens.llm.units import Anchors, anchors, whole_windows
+from recordlens.llm.units import Anchors, anchors, grams, whole_windows
 
 # A prefix that more chunks hold than this is lengthened to the whole window.
 LONG_PREFIX_CHUNKS = 20_000
+# So is one with more slices, if those are more than two for each chunk that holds it; a
+# whole window still has one slice in each chunk.
+LONG_PREFIX_SLICES = 4_000
 
 SLICES = (
     "bucket long, prefix long, chunk long, id long, n int, anchor int, slice binary, starts binary"
@@ -63,16 +69,25 @@ class Spec:
         return corpus.buckets(self.bytes_per_unit / anchors_per_unit)
 
 
-def _hash(text: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(text, digest_size=8).digest(), "little")
-
-
 def _anchors(
     spec: Spec, bodies: list[bytes]
-) -> tuple[Anchors, Callable[[int, int], bytes], np.ndarray]:
+) -> tuple[Anchors, Callable[[int, int], bytes], np.ndarray, np.ndarray]:
     values, ends, text = spec.units(bodies)
     found = anchors(values, whole_windows(ends, len(values), spec.width), spec.width, spec.prefix)
-    return found, text, ends
+    return found, text, ends, values
+
+
+def _windows(spec: Spec, found: Anchors, values: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """The keys of the whole windows of some anchors."""
+    return [
+        grams(values[found.first[i] : found.last[i] + spec.width], spec.width) for i in rows
+    ]
+
+
+def _states(replies: pa.Table, found: Anchors, n_buckets: int) -> np.ndarray:
+    """What the corpus says to each anchor: 0 single, 1 repeated, 2 to be lengthened."""
+    keys, inverse = np.unique(found.keys, return_inverse=True)
+    return told(replies, keys, n_buckets, np.uint8)[inverse]
 
 
 def candidate_slices(
@@ -85,16 +100,38 @@ def candidate_slices(
     the slice), anchor (where in the slice its anchor begins, in units), slice (its
     bytes) and starts (where it begins, in units of the chunk).
     """
-    n_buckets = spec.n_buckets(corpus)
+    n_buckets, long_prefix_slices = spec.n_buckets(corpus), LONG_PREFIX_SLICES
 
     def ask_anchors(table: pa.Table) -> pa.Table:
         bodies = in_order(table).column("body").to_pylist()
-        found, _, _ = _anchors(spec, bodies)
-        keys, counts = np.unique(found.keys, return_counts=True)
-        return ask(chunk_of(table), keys, counts, n_buckets)
+        found, text, _, _ = _anchors(spec, bodies)
+        keys, inverse, counts = np.unique(found.keys, return_inverse=True, return_counts=True)
+        # Counted are different slices, and one more if any of them is there again.
+        slices = np.minimum(counts, 1)
+        several = np.flatnonzero(counts[inverse] > 1)
+        different = {
+            (int(inverse[i]), text(int(found.first[i]), int(found.last[i]) + spec.width))
+            for i in several
+        }
+        slices[inverse[several]] = 0
+        np.add.at(slices, [key for key, _ in different], 1)
+        return ask(chunk_of(table), keys, slices + (slices < counts), n_buckets)
 
     def state(totals: np.ndarray, chunks: np.ndarray) -> np.ndarray:
-        return ((totals > 1).astype(np.uint8) + (chunks > long_prefix_chunks)).astype(np.uint8)
+        many = (totals > long_prefix_slices) & (totals > 2 * chunks)
+        lengthen = (totals > 1) & (many | (chunks > long_prefix_chunks))
+        return ((totals > 1).astype(np.uint8) + lengthen).astype(np.uint8)
+
+    def ask_windows(docs: pa.Table, replies: pa.Table) -> pa.Table:
+        keys, chunk = np.empty(0, np.uint64), 0
+        counts = np.empty(0, np.int64)
+        if any(b"\x02" in answer for answer in replies.column("answer").to_pylist()):
+            chunk = chunk_of(docs)
+            found, _, _, values = _anchors(spec, in_order(docs).column("body").to_pylist())
+            rows = np.flatnonzero(_states(replies, found, n_buckets) == 2)
+            every = np.concatenate(_windows(spec, found, values, rows))
+            keys, counts = np.unique(every, return_counts=True)
+        return ask(chunk, keys, counts, n_buckets)
 
     def cut(docs: pa.Table, replies: pa.Table) -> pa.Table:
         seen: dict[tuple[int, bytes], list[int]] = {}
@@ -104,9 +141,18 @@ def candidate_slices(
             chunk = chunk_of(docs)
             docs = in_order(docs)
             ids = docs.column("id").to_pylist()
-            found, text, ends = _anchors(spec, docs.column("body").to_pylist())
-            keys, inverse = np.unique(found.keys, return_inverse=True)
-            states = told(replies, keys, n_buckets, np.uint8)[inverse]
+            found, text, ends, values = _anchors(spec, docs.column("body").to_pylist())
+            # Answers about whole windows have negative buckets.
+            buckets = replies.column("bucket")
+            of_windows = pc.less(buckets, 0)
+            states = _states(replies.filter(pc.invert(of_windows)), found, n_buckets)
+            long = np.flatnonzero(states == 2)
+            windows = _windows(spec, found, values, long)
+            asked = np.unique(np.concatenate([np.empty(0, np.uint64), *windows]))
+            of_windows = replies.set_column(
+                replies.column_names.index("bucket"), "bucket", pc.subtract(-1, buckets)
+            ).filter(of_windows)
+            again = told(of_windows, asked, n_buckets, np.uint8)
 
             def add(key: int, start: int, n: int, anchor: int) -> None:
                 entry = (key, text(start, start + n - 1 + spec.width))
@@ -115,13 +161,12 @@ def candidate_slices(
                     shape.append((n, anchor - start))
                 seen[entry].append(start)
 
-            for i in np.flatnonzero(states):
+            for i in np.flatnonzero(states == 1):
                 first, last, at = int(found.first[i]), int(found.last[i]), int(found.at[i])
-                if states[i] == 1:
-                    add(int(found.keys[i]), first, last - first + 1, at)
-                    continue
-                for start in range(first, last + 1):
-                    add(_hash(text(start, start + spec.width)), start, 1, at)
+                add(int(found.keys[i]), first, last - first + 1, at)
+            for i, own in zip(long, windows):
+                for step in np.flatnonzero(again[np.searchsorted(asked, own)]):
+                    add(int(own[step]), int(found.first[i] + step), 1, int(found.at[i]))
         prefixes = np.array([key for key, _ in seen], np.uint64)
         owners = np.searchsorted(ends, [s[0] for s in seen.values()], "right")
         return pa.table(
@@ -141,6 +186,11 @@ def candidate_slices(
 
     by_chunk = corpus.docs.groupBy("chunk")
     replies = answers(by_chunk.applyInArrow(ask_anchors, ASKED), state)
+    asked = by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(ask_windows, ASKED)
+    repeated = answers(asked, lambda totals, chunks: (totals > 1).astype(np.uint8))
+    replies = replies.union(
+        repeated.select("chunk", (F.lit(-1) - F.col("bucket")).alias("bucket"), "answer")
+    )
     return by_chunk.cogroup(replies.groupBy("chunk")).applyInArrow(cut, SLICES)
 
 

@@ -141,3 +141,30 @@ def test_digests(spark):
     text = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").filter(f"doc_id = {row.doc_id}").first().text
     assert row.kept_sha256 == hashlib.sha256(" ".join(words(text)).encode()).hexdigest()
     assert candidates.LONG_PREFIX_CHUNKS > 1
+
+
+def shared_line(n):
+    """Documents with one line in common and other words around it, and two copies."""
+    line = "all rights to this page are kept by its first owner and"
+    rows = [(i, " ".join([f"a{i}b{j}" for j in range(15)] + [line] + [f"c{i}d{j}" for j in range(15)])) for i in range(n)]
+    return rows + [(n, rows[3][1])]
+
+
+def test_a_shared_line_makes_no_large_group(spark, monkeypatch):
+    monkeypatch.setattr(candidates, "LONG_PREFIX_SLICES", 20)
+    rows = shared_line(200)
+    source = substring_dedup.corpus(frame(spark, rows), chunk_bytes=4000)
+    spec = candidates.Spec(20, 8, substring_dedup.word_units, 6.0)
+    slices = candidates.candidate_slices(source, spec).groupBy("prefix").count().collect()
+    assert max(r["count"] for r in slices) <= 20
+
+
+def test_many_slices_of_a_prefix(spark, monkeypatch):
+    monkeypatch.setattr(candidates, "LONG_PREFIX_SLICES", 3)
+    rows = shared_line(60) + [(1000 + i, t) for i, t in corpus() if i is not None]
+    found = remove_repeats(frame(spark, rows), chunk_bytes=9000).collect()
+    got = [(r.doc_id, r.n_words, r.n_removed, r.text) for r in found]
+    assert sortable(got) == sortable(without_later_windows(rows, 20))
+    found = remove_repeated_bytes(frame(spark, rows), width=60, chunk_bytes=9000).collect()
+    got = [(r.doc_id, r.n_bytes, r.n_removed, [tuple(s) for s in r.spans], bytes(r.kept)) for r in found]
+    assert sortable(got) == sortable(without_repeated_bytes(rows, 60))

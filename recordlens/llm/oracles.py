@@ -228,6 +228,92 @@ FROM file LEFT JOIN best USING (doc_id) LEFT JOIN stated USING (dir)
 """
 
 
+def warc(min_bytes: int = 0) -> str:
+    # Base32 writes five hexadecimal digits as four characters of five bits.
+    base32 = " || ".join(
+        f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, {1 + 5 * group}, 5))::BIGINT"
+        f" >> {15 - 5 * place}) & 31)::BIGINT, 1)"
+        for group in range(8)
+        for place in range(4)
+    )
+    return f"""
+WITH page AS (
+    SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS n, sha1(coalesce(html, '')) AS hex
+    FROM pages
+),
+ranked AS (SELECT *, max(page_id) OVER (PARTITION BY hex, n) AS first_id FROM page)
+SELECT page_id, n AS payload_bytes, {base32} AS payload_digest,
+    CASE WHEN n >= {min_bytes} AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN n >= {min_bytes} AND page_id <> first_id THEN first_id END AS refers_to,
+    NULL::VARCHAR AS problem
+FROM ranked
+"""
+
+
+def lexical_search(k: int = 10) -> str:
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+    def terms(text: str) -> str:
+        pattern = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+        return f"regexp_extract_all(translate({text}, '{upper}', '{lower}'), '{pattern}')"
+
+    return f"""
+WITH doc AS (
+    SELECT row_number() OVER () AS d, doc_id, ts, len(ts)::BIGINT AS n
+    FROM (SELECT doc_id, coalesce({terms("text")}, []) AS ts FROM documents)
+),
+total AS (SELECT (count(*) FILTER (n > 0))::BIGINT AS nn, sum(n)::BIGINT AS l FROM doc),
+wanted AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, unnest({terms("text")}) AS t FROM benchmark)),
+posting AS (
+    SELECT d, t, count(*)::BIGINT AS tf FROM (SELECT d, unnest(ts) AS t FROM doc)
+    WHERE t IN (SELECT t FROM wanted) GROUP BY d, t
+),
+weight AS (
+    SELECT t, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+    FROM (SELECT t, count(*) AS df FROM posting GROUP BY t), total
+),
+scored AS (
+    SELECT item_id, d, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // l))))::BIGINT AS score
+    FROM wanted JOIN weight USING (t) JOIN posting USING (t) JOIN doc USING (d), total GROUP BY item_id, d
+),
+ranked AS (
+    SELECT item_id, doc_id, score,
+        row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+    FROM scored JOIN doc USING (d) WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= {k}
+"""
+
+
+def hard_negatives() -> str:
+    return """
+WITH vec AS (
+    SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pair AS (
+    SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+    FROM vec a JOIN vec b ON a.id % 100 = 0 AND a.id <> b.id
+),
+near AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score
+    FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM pair WHERE same)
+    WHERE k <= 5
+),
+far AS (
+    SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank
+    FROM near JOIN (SELECT * FROM pair WHERE NOT same) USING (anchor_id)
+    WHERE 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM far WHERE rank <= 10
+"""
+
+
 def oracles(shard_bytes: int) -> dict[str, str]:
     """Query name to SQL on the same tables."""
     return {
@@ -236,4 +322,7 @@ def oracles(shard_bytes: int) -> dict[str, str]:
         "op5_near_dedup": near_dedup(),
         "op7_quality_rules": quality_rules(),
         "op10_license_scan": license_scan(),
+        "op11_warc": warc(),
+        "op12_lexical_search": lexical_search(),
+        "op13_hard_negatives": hard_negatives(),
     }

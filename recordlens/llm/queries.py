@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlens.llm.oracles import oracles
+from recordlens.storage import Workspace
 
 
 # A shard's limit, small enough that the test tables have many shards.
@@ -103,6 +104,37 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir), path)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordlens.llm.warc import page_number, read_archives, write_archives
+
+    folder = f"{Workspace(spark, 'archives').folder}/warc"
+    write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
+    return read_archives(spark, folder, with_payload=False).select(
+        page_number(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        page_number(F.col("refers_to")).alias("refers_to"),
+        "problem",
+    )
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordlens.llm.lexical_search import search
+
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return search(documents(spark, sf_dir), items)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from recordlens.llm.hard_negatives import hard_negatives
+
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    number = F.col("vec_id")
+    moved = F.when(number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), number % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_sharding": op2_sharding,
@@ -114,6 +146,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_decontamination": op9_decontamination,
     "op10_license_scan": op10_license_scan,
+    "op11_warc": op11_warc,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES = oracles(SHARD_BYTES)

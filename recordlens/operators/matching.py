@@ -17,6 +17,14 @@ EXACT_FEATURES = {"email_exact": "email", "phone_exact": "phone"}
 GRADED_FEATURES = {"name_sim": "name", "city_sim": "city"}
 
 
+@dataclass(frozen=True)
+class Way:
+    """Pairs of a block that agree on ``fields`` and are at least as similar as ``least``."""
+
+    fields: tuple[str, ...] = ()
+    least: Mapping[str, float] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class MatchScorer:
     """Weighted mean of comparison features; a pair matches from ``threshold`` on.
@@ -94,6 +102,60 @@ class MatchScorer:
             if self.suffices([*chosen, *graded]) and not self.suffices(chosen)
         ]
 
+    def least_similarities(self, agreeing: Iterable[str]) -> dict[str, float] | None:
+        """The least graded features of a match that agrees on just these exact ones.
+
+        None if no such pair matches. A feature that has to be 1.0 is exactly that: any
+        smaller similarity of texts below 2**31 characters falls short of the threshold.
+        Other values are a little too small rather than too large.
+        """
+        graded = self._weighted(GRADED_FEATURES)
+        held = [*agreeing, *graded]
+        if not self.suffices(held):
+            return None
+        least = {}
+        for f in graded:
+            rest = math.fsum(self.weights[g] for g in held if g != f)
+            if not self._passes_at(held, f, 1.0 - 2.0**-31):
+                least[f] = 1.0
+            else:
+                needed = (self.threshold * self.total - rest) / self.weights[f]
+                least[f] = min(1.0, max(0.0, needed - 1e-9))
+        return least
+
+    def _passes_at(self, held: Iterable[str], graded: str, value: float) -> bool:
+        held = set(held)
+        score = 0.0
+        for name, weight in self.weights.items():
+            x = value if name == graded else 1.0 if name in held else 0.0
+            score = score + float(weight) * x
+        return score / self.total >= self.threshold
+
+    def ways(self) -> list[Way]:
+        """How two records of a block can come to match; each match goes at least one way.
+
+        A way with fields is a join on them. The one without, if any, is of pairs that
+        share no exact feature and are as similar as ``least`` says.
+        """
+        found = []
+        exact = self._weighted(EXACT_FEATURES)
+        for size in range(len(exact) + 1):
+            for chosen in combinations(exact, size):
+                least = self.least_similarities(chosen)
+                if least is None:
+                    continue
+                equal = tuple(GRADED_FEATURES[f] for f, x in least.items() if x == 1.0)
+                fields = tuple(EXACT_FEATURES[f] for f in chosen) + equal
+                open_ = {GRADED_FEATURES[f]: x for f, x in least.items() if 0.0 < x < 1.0}
+                if not fields and not open_:
+                    return [Way()]
+                found.append(Way(fields, {} if fields else open_))
+        # A join on fewer fields finds all that one on more of them does.
+        joins = {w.fields for w in found if w.fields}
+        return [
+            w for w in found if not any(set(j) < set(w.fields) for j in joins)
+        ]
+
     def evidence(self) -> tuple[str, ...]:
         """Fields of which a matching pair must share one; empty if it need not."""
         if self.suffices(self._weighted(GRADED_FEATURES)):

@@ -18,7 +18,8 @@ from recordlens.functions.text import (
     same_phone,
 )
 from recordlens.operators.guards import require_columns
-from recordlens.operators.matching import MatchScorer
+from recordlens.operators.matching import MatchScorer, Way
+from recordlens.operators.similar import LEAST_BY_PARTS, similar_pairs
 from recordlens.operators.spread import pairs_within
 
 FIELDS = ("name", "email", "phone", "city")
@@ -46,6 +47,16 @@ def block_sizes(records: DataFrame, *, trim_key: bool = False) -> DataFrame:
     return sizes.withColumn("n_pairs", pair_count(F.col("n_records")))
 
 
+def _agreement(fields: Sequence[str], blank_emails: bool) -> Column:
+    """The values on which two records must agree, as one text; null if one is missing."""
+    values = []
+    for f in fields:
+        value = evidence_key(f, blank_emails=blank_emails) if f in EVIDENCE else normalised(named(f))
+        # With its length ahead, so that no two lists of values run into the same text.
+        values.append(F.concat(F.length(value).cast("string"), F.lit(":"), value))
+    return F.concat(F.lit("+".join(fields) + "|"), *values)
+
+
 def candidate_pairs(
     records: DataFrame,
     *,
@@ -59,10 +70,12 @@ def candidate_pairs(
 
     What may be left out depends on who scores the pairs, so ``evidence`` has no
     default. Given a scorer, all pairs that can match by its weights and threshold are
-    produced: if a match needs the same email or phone, by an equi-join on (block,
-    value) whose output grows with the duplicates in the data. Otherwise, and with
-    ``evidence=()``, it is every pair of a block; look at :func:`block_sizes` first.
-    Records without name and city share the empty block.
+    produced. From these follows on which fields a match has to agree in full: a shared
+    email or phone, or a name and city whose least similarity is 1.0. Each such way is an
+    equi-join on (block, values), whose output grows with the duplicates in the data. A
+    name or city that has to be similar only, but at least by half, is looked for by
+    :func:`similar_pairs`. Otherwise, and with ``evidence=()``, it is every pair of a block;
+    look at :func:`block_sizes` first. Records without name and city share the empty block.
 
     Args:
         records: Records with ``id_col``, ``name``, ``city``, the ``fields`` and the
@@ -75,34 +88,57 @@ def candidate_pairs(
         trim_key: Whether outer spaces are left out of the block key.
     """
     if isinstance(evidence, MatchScorer):
-        evidence = evidence.evidence()
-    require_columns(records, [id_col, "name", "city", *fields, *evidence])
-    block, shared, kind, earlier = (
-        free_name(records, c) for c in ("block", "shared", "kind", "earlier")
+        ways = evidence.ways()
+        impossible = not ways
+        if any(not w.fields and max(w.least.values(), default=0) < LEAST_BY_PARTS for w in ways):
+            ways = []
+    else:
+        for f in evidence:
+            evidence_key(f)
+        ways, impossible = [Way((f,)) for f in evidence], False
+    needed = [f for w in ways for f in (*w.fields, *w.least)]
+    require_columns(records, [id_col, "name", "city", *fields, *needed])
+    block, shared, kind, earlier, text, least = (
+        free_name(records, c) for c in ("block", "shared", "kind", "earlier", "text", "least")
     )
+    joins = [w.fields for w in ways if w.fields]
     keyed = records.select(
         *(named(c) for c in dict.fromkeys((id_col, *fields))),
         block_key(named("name"), named("city"), trim=trim_key).alias(block),
         F.array(
-            *(evidence_key(f, blank_emails=blank_emails) for f in evidence)
-            if evidence
-            else [F.lit("")]
-        ).alias(earlier),
-    )
-    # One row per way to agree; `earlier` holds the values of the ways before it.
-    ways = keyed.select("*", F.posexplode(named(earlier)).alias(kind, shared)).withColumn(
-        earlier, F.slice(named(earlier), F.lit(1), named(kind))
+            *(_agreement(j, blank_emails) for j in joins) if ways else [F.lit("")]
+        ).cast("array<string>").alias(earlier),
+        *(normalised(named(f)).alias(f"{text}_{f}") for f in ("name", "city")),
     )
+    if impossible:
+        keyed = keyed.filter(F.lit(False))
 
     def unseen(a, b) -> Column:
         return ~F.coalesce(F.arrays_overlap(a(earlier), b(earlier)), F.lit(False))
 
-    joined, a, b = pairs_within(ways, [block, kind, shared], id_col, unseen)
-    return joined.select(
-        a(id_col).alias(f"{id_col}_a"),
-        b(id_col).alias(f"{id_col}_b"),
-        *(s(f).alias(f"{f}_{end}") for f in fields for end, s in (("a", a), ("b", b))),
-    )
+    def sides(frame: DataFrame, a, b) -> DataFrame:
+        return frame.select(
+            a(id_col).alias(f"{id_col}_a"),
+            b(id_col).alias(f"{id_col}_b"),
+            *(s(f).alias(f"{f}_{end}") for f in fields for end, s in (("a", a), ("b", b))),
+        )
+
+    found = None
+    if joins or not ways:
+        # One row per way to agree; `earlier` holds the values of the ways before it.
+        agreeing = keyed.select("*", F.posexplode(named(earlier)).alias(kind, shared)).withColumn(
+            earlier, F.slice(named(earlier), F.lit(1), named(kind))
+        )
+        found = sides(*pairs_within(agreeing, [block, kind, shared], id_col, unseen))
+    for way in ways:
+        if way.fields:
+            continue
+        field, level = max(way.least.items(), key=lambda entry: entry[1])
+        texts = keyed.withColumns({text: named(f"{text}_{field}"), least: F.lit(level)})
+        pairs = similar_pairs(texts, [block], id_col, text, least, unseen)
+        more = sides(pairs, lambda c: F.col("a")[c], lambda c: F.col("b")[c])
+        found = more if found is None else found.unionByName(more)
+    return found
 
 
 def compare_pairs(pairs: DataFrame, *, blank_emails: bool = False) -> DataFrame:

@@ -105,21 +105,24 @@ def pairs_within(
     keys: Sequence[str],
     order: str,
     keep: Callable[[Side, Side], Column],
+    work: Workspace | None = None,
 ) -> tuple[DataFrame, Side, Side]:
     """Pairs of rows that agree on ``keys`` and satisfy ``keep``, smaller ``order`` first.
 
     ``keep`` is part of the join condition, so a pair that fails it never leaves
-    the join. Both sides read the same shuffle. One job looks for groups of more
-    than TILE_ROWS rows beforehand; if there are any, they are cut into slices and
-    every two slices meet in a task of their own, so that the work of a large group
-    spreads over the cluster and each pair is still seen exactly once. A row goes to
-    as many tasks as there are slices, at most about thrice the root of their number.
+    the join. The rows are written once; what looks for groups of more than TILE_ROWS
+    rows and both sides of the join read what is written. Without such groups it is a
+    plain join, for adaptive execution to size. If there are any, they are cut into
+    slices and every two slices meet in a task of their own, so that the work of a large
+    group spreads over the cluster and each pair is still seen exactly once. A row goes
+    to as many tasks as there are slices, at most about thrice the root of their number.
 
     Args:
         rows: The rows to pair; a null key agrees with nothing.
         keys: Columns on which the two rows of a pair agree.
         order: Column that orders the two rows; equal values do not pair.
         keep: Condition on the two sides, given as column lookups.
+        work: Where the rows are written, for who wants to remove them.
 
     Returns:
         The joined frame and the column lookups of its two sides.
@@ -132,15 +135,15 @@ def pairs_within(
         return F.col(f"b.`{column}`")
 
     def meet(apart: DataFrame, on: Sequence[str], condition: Column) -> DataFrame:
-        # A fixed number of partitions: the work is in the pairs, not in the bytes
-        # by which Spark would merge small partitions.
-        apart = apart.repartition(tasks, *(named(k) for k in on))
         agree = reduce(and_, (a(k) == b(k) for k in on))
         return apart.alias("a").join(apart.alias("b"), agree & condition)
 
     spark = rows.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.filter(reduce(and_, (named(k).isNotNull() for k in keys)))
+    work = work or Workspace(spark, "pairs")
+    number = len(work.names)
+    known = reduce(and_, (named(k).isNotNull() for k in keys))
+    rows = work.keep(rows.filter(known), f"rows-{number}")
     large = {k: free_name(rows, f"large_{i}") for i, k in enumerate(keys)}
     size, slices, mine, met, low, high = (
         free_name(rows, c) for c in ("size", "slices", "slice", "met", "low_slice", "high_slice")
@@ -154,11 +157,11 @@ def pairs_within(
     if sizes.isEmpty():
         return meet(rows, keys, in_order & keep(a, b)), a, b
 
-    sizes = Workspace(spark, "pairs").keep(
+    sizes = work.keep(
         sizes.withColumn(
             slices, F.least(F.ceil(named(size) / TILE_ROWS), F.lit(2 * isqrt(2 * tasks) + 2))
         ),
-        "sizes",
+        f"sizes-{number}",
     )
     sliced = (
         lookup(rows, sizes, large, weight=size, how="left")
@@ -170,4 +173,7 @@ def pairs_within(
     # Two slices also meet themselves in their tile; that belongs to their own tiles.
     # Not written as equalities, which Spark would take as keys of two other shuffles.
     apart = (a(mine) != b(mine)) | (a(low) >= a(high))
-    return meet(sliced, [*keys, low, high], apart & in_order & keep(a, b)), a, b
+    # A fixed number of partitions: the work is in the pairs of a tile, not in the bytes
+    # by which Spark would merge small partitions.
+    tiles = sliced.repartition(tasks, *(named(k) for k in (*keys, low, high)))
+    return meet(tiles, [*keys, low, high], apart & in_order & keep(a, b)), a, b

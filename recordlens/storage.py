@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 SETTING = "spark.checkpoint.dir"
@@ -51,8 +52,13 @@ class Workspace:
     ) -> tuple[DataFrame, dict[str, Any]]:
         """As ``keep``, with aggregates of the rows taken in the job that writes them."""
         seen = Observation()
-        kept = self.keep(df.observe(seen, *(m.alias(n) for n, m in measures.items())), name)
-        return kept, seen.get
+        columns = [m.alias(n) for n, m in measures.items()]
+        kept = self.keep(df.observe(seen, *columns), name)
+        try:
+            return kept, seen.get
+        except Py4JJavaError:
+            # From a table that it knows to be empty Spark removes the observation, too.
+            return kept, kept.agg(*columns).first().asDict()
 
     def forget(self, *names: str) -> None:
         """Remove tables that nothing reads any more; those never kept are skipped."""

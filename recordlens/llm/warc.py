@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recordlens.functions.names import named
@@ -149,18 +149,16 @@ def write_archives(
         named(url_col).cast("string").alias("url"),
         body.alias("payload"),
     ).withColumns({"digest": F.unhex(F.sha1("payload")), "n_bytes": F.octet_length("payload")})
-    seen = Observation()
-    total = F.coalesce(F.sum(F.col("n_bytes").cast("long")), F.lit(0)).alias("total")
+    total = rows.agg(F.coalesce(F.sum(F.col("n_bytes").cast("long")), F.lit(0))).first()[0]
     keys = {"digest": "its_digest", "n_bytes": "its_bytes"}
     firsts = work.keep(
-        rows.observe(seen, total)
-        .filter(F.col("n_bytes") >= min_bytes)
+        rows.filter(F.col("n_bytes") >= min_bytes)
         .groupBy(*(F.col(c).alias(its) for c, its in keys.items()))
         .agg(F.max("id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
         .filter("copies > 1 AND first_id IS NOT NULL"),
         "firsts",
     )
-    n_archives = max(1, -(-seen.get["total"] // archive_bytes))
+    n_archives = max(1, -(-total // archive_bytes))
     # What revisits another page carries no payload any further.
     revisits = F.col("first_id").isNotNull() & ~F.col("id").eqNullSafe(F.col("first_id"))
     dealt = (

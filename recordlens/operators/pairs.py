@@ -153,11 +153,14 @@ def compare_pairs(pairs: DataFrame, *, blank_emails: bool = False) -> DataFrame:
     def both(field: str, clean) -> tuple[Column, Column]:
         return clean(named(f"{field}_a")), clean(named(f"{field}_b"))
 
-    return pairs.withColumns(
-        {
-            "name_sim": edit_similarity(*both("name", normalised)),
-            "city_sim": edit_similarity(*both("city", normalised)),
-            "email_exact": same_email(*both("email", normalised), blank_matches=blank_emails),
-            "phone_exact": same_phone(*both("phone", digits)),
-        }
+    features = F.struct(
+        edit_similarity(*both("name", normalised)).alias("name_sim"),
+        edit_similarity(*both("city", normalised)).alias("city_sim"),
+        same_email(*both("email", normalised), blank_matches=blank_emails).alias("email_exact"),
+        same_phone(*both("phone", digits)).alias("phone_exact"),
     )
+    # Generated, not projected: a filter on the features then stays above the join that made
+    # the pairs, and no similarity is computed for what is no pair, or twice.
+    names = ("name_sim", "city_sim", "email_exact", "phone_exact")
+    others = [named(c) for c in pairs.columns if c not in names]
+    return pairs.select(*others, F.inline(F.array(features)))

@@ -18,7 +18,16 @@ from recordlens.operators.quality import (
     pair_measures,
     pairwise_resolution_metrics,
 )
+from recordlens.operators.similar import similar_pairs
+from recordlens.operators.states import (
+    merge_moments,
+    merge_sketches,
+    moment_states,
+    quantile_sketches,
+    rank_error,
+)
 from recordlens.plans.detection import DetectionPipeline, detect_anomalies, flag_totals
+from recordlens.plans.incremental import EntityStore
 from recordlens.plans.resolution import ResolutionPipeline, resolve_entities
 from recordlens.plans.scorecard import Scorecard, run_scorecard, scorecard
 from recordlens.reports import AnomalyReport, EvaluationMetrics, ResolutionReport
@@ -27,6 +36,7 @@ __all__ = [
     "AnomalyReport",
     "DetectionPipeline",
     "Detector",
+    "EntityStore",
     "EvaluationMetrics",
     "GaussianDetector",
     "IQRDetector",
@@ -45,10 +55,16 @@ __all__ = [
     "flag_measures",
     "flag_totals",
     "get_detector",
+    "merge_moments",
+    "merge_sketches",
+    "moment_states",
     "pair_measures",
     "pairwise_resolution_metrics",
+    "quantile_sketches",
+    "rank_error",
     "register_detector",
     "resolve_entities",
     "run_scorecard",
     "scorecard",
+    "similar_pairs",
 ]

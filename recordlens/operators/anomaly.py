@@ -11,6 +11,14 @@ from recordlens.functions.names import free_name, named
 from recordlens.functions.numeric import fence_score, finite, z_score
 from recordlens.operators.guards import require_columns, require_numeric
 from recordlens.operators.quantiles import exact_quantiles
+from recordlens.operators.states import (
+    MOMENTS,
+    SKETCH,
+    merge_moments,
+    merge_sketches,
+    sketch_quantile,
+    spread_of,
+)
 from recordlens.reports import AnomalyReport
 
 SCORE = "anomaly_score"
@@ -39,6 +47,11 @@ class GlobalDetector:
     name: str
     cutoff: float
 
+    @property
+    def from_rows(self) -> bool:
+        """Whether the summary is one aggregate of the rows, which others can share."""
+        return True
+
     def summary(self, x: Column) -> Column:
         """Aggregate of the column as one struct."""
         raise NotImplementedError
@@ -78,14 +91,36 @@ def mean_and_spread(x: Column) -> Column:
     return F.struct(F.mean(x).alias("mean"), F.stddev_samp(x).alias("spread"))
 
 
+def state_summary() -> Column:
+    """The same out of a row of :func:`moment_states`."""
+    return F.struct(F.col("mean"), spread_of().alias("spread"))
+
+
 class ZScoreDetector(GlobalDetector):
-    """Flags values more than ``threshold`` standard deviations from the mean."""
+    """Flags values more than ``threshold`` standard deviations from the mean.
+
+    With ``states``, a table of moment states of the column, rows are held against what
+    is stored there instead of against themselves.
+    """
 
     name = "zscore"
 
-    def __init__(self, threshold: float | None = None) -> None:
+    def __init__(
+        self, threshold: float | None = None, *, states: DataFrame | None = None
+    ) -> None:
         self.threshold = DEFAULT_THRESHOLD if threshold is None else threshold
         self.cutoff = float(self.threshold)
+        self.states = states
+
+    @property
+    def from_rows(self) -> bool:
+        return self.states is None
+
+    def summarise(self, df: DataFrame, x: Column) -> Column:
+        if self.states is None:
+            return super().summarise(df, x)
+        merged = merge_moments(self.states.select(*MOMENTS))
+        return merged.select(state_summary().alias("summary")).scalar()
 
     def summary(self, x: Column) -> Column:
         return mean_and_spread(x)
@@ -99,7 +134,8 @@ class IQRDetector(GlobalDetector):
 
     The score counts interquartile ranges beyond the nearer fence, so the cutoff
     is 0. The quartiles are approximate with the given ``accuracy`` in one lazy
-    pass, or, with ``exact``, exact values of the column found by a few jobs.
+    pass, or, with ``exact``, exact values of the column found by a few jobs, or, with
+    ``sketches``, those of stored quantile sketches, merged.
     """
 
     name = "iqr"
@@ -111,10 +147,18 @@ class IQRDetector(GlobalDetector):
         *,
         accuracy: int = 10_000,
         exact: bool = False,
+        sketches: DataFrame | None = None,
     ) -> None:
+        if exact and sketches is not None:
+            raise ValueError("quartiles are exact or come from sketches, not both")
         self.multiplier = DEFAULT_MULTIPLIER if multiplier is None else multiplier
         self.accuracy = accuracy
         self.exact = exact
+        self.sketches = sketches
+
+    @property
+    def from_rows(self) -> bool:
+        return not self.exact and self.sketches is None
 
     def summary(self, x: Column) -> Column:
         return F.struct(
@@ -123,6 +167,12 @@ class IQRDetector(GlobalDetector):
         )
 
     def summarise(self, df: DataFrame, x: Column) -> Column:
+        if self.sketches is not None:
+            quartiles = F.struct(
+                sketch_quantile(0.25).alias("q1"), sketch_quantile(0.75).alias("q3")
+            )
+            merged = merge_sketches(self.sketches.select(*SKETCH))
+            return merged.select(quartiles.alias("summary")).scalar()
         if not self.exact:
             return super().summarise(df, x)
         q1, q3 = exact_quantiles(df, x, (0.25, 0.75))
@@ -141,11 +191,21 @@ class GaussianDetector:
     one lazy plan that writes nothing. Unlike a window that need not gather the rows of
     one group in one task: the summaries are small, so Spark broadcasts few of them and
     splits the rows of a large group at run time where it shuffles.
+
+    With ``states``, a table of moment states by ``group_col``, rows are held against what
+    is stored there; a group that is not stored has nothing to deviate from and scores 0.
     """
 
     name = "gaussian"
 
-    def __init__(self, group_col: str, threshold: float | None = None) -> None:
+    def __init__(
+        self,
+        group_col: str,
+        threshold: float | None = None,
+        *,
+        states: DataFrame | None = None,
+    ) -> None:
+        self.states = states
         self.group_col = group_col
         self.threshold = DEFAULT_THRESHOLD if threshold is None else threshold
         self.cutoff = float(self.threshold)
@@ -156,12 +216,17 @@ class GaussianDetector:
         require_columns(df, [self.group_col])
         group, stats = (free_name(df, c) for c in ("group", "stats"))
         x = finite(df, column)
-        groups = df.groupBy(named(self.group_col).alias(group)).agg(
-            mean_and_spread(x).alias(stats)
-        )
+        if self.states is None:
+            groups = df.groupBy(named(self.group_col).alias(group)).agg(
+                mean_and_spread(x).alias(stats)
+            )
+        else:
+            groups = merge_moments(self.states, [self.group_col]).select(
+                named(self.group_col).alias(group), state_summary().alias(stats)
+            )
         summary = named(stats)
         same = named(self.group_col).eqNullSafe(named(group))
-        return df.join(groups, same).select(
+        return df.join(groups, same, "inner" if self.states is None else "left").select(
             *(named(c) for c in df.columns if c != SCORE),
             z_score(x, summary["mean"], summary["spread"]).alias(SCORE),
         )

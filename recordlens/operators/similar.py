@@ -92,6 +92,7 @@ def by_parts(
     text: str,
     least: str,
     keep: Callable[[Side, Side], Column],
+    fresh: str | None = None,
 ) -> DataFrame:
     """Pairs (a, b) of rows as structs that share a part and satisfy ``keep``, smaller ``order`` first.
 
@@ -121,14 +122,24 @@ def by_parts(
     agree = agree & (F.col(f"{found}.{part}") == F.col(f"{own}.{part}"))
     # Texts of one length find each other from both sides; once is enough.
     once = (F.length(s(text)) < F.length(t(text))) | (s(order) < t(order))
-    pairs = shorter.join(longer, agree & once & (s(order) != t(order)) & keep(s, t))
+    condition = agree & once & (s(order) != t(order)) & keep(s, t)
     ahead = s(order) < t(order)
-    return (
-        pairs.select(
+
+    def paired(some: DataFrame, others: DataFrame) -> DataFrame:
+        return some.join(others, condition).select(
             F.when(ahead, F.col(f"{found}.row")).otherwise(F.col(f"{own}.row")).alias("a"),
             F.when(ahead, F.col(f"{own}.row")).otherwise(F.col(f"{found}.row")).alias("b"),
         )
-        .withColumns({"a_order": F.col("a")[order], "b_order": F.col("b")[order]})
+
+    if fresh is None:
+        pairs = paired(shorter, longer)
+    else:
+        # Two joins, so that rows which have met before do not meet again.
+        pairs = paired(shorter.filter(s(fresh)), longer).unionByName(
+            paired(shorter.filter(~s(fresh)), longer.filter(t(fresh)))
+        )
+    return (
+        pairs.withColumns({"a_order": F.col("a")[order], "b_order": F.col("b")[order]})
         .dropDuplicates(["a_order", "b_order"])
         .select("a", "b")
     )
@@ -142,6 +153,7 @@ def similar_pairs(
     least: str,
     keep: Callable[[Side, Side], Column] | None = None,
     work: Workspace | None = None,
+    fresh: str | None = None,
 ) -> DataFrame:
     """Pairs (a, b) of rows that agree on ``keys`` and whose texts are similar enough.
 
@@ -160,9 +172,11 @@ def similar_pairs(
             that agree on ``keys``.
         keep: A further condition on the two sides, the same for both orders.
         work: Where tables are written, for who wants to remove them.
+        fresh: Boolean column of the rows that have not been paired before; if given, only
+            pairs with such a row are looked for.
 
     Returns:
-        Structs of all columns of ``rows``, smaller ``order`` first.
+        Structs of all columns of ``rows``, smaller ``order`` first unless there is ``fresh``.
     """
     work = work or Workspace(rows.sparkSession, "similar")
     known = reduce(and_, (named(c).isNotNull() for c in (*keys, text)))
@@ -189,7 +203,7 @@ def similar_pairs(
     )
     marked = work.keep(marked.drop("in_large"), f"marked-{len(work.names)}")
     in_parts = marked.filter(named(kind).isNull() | (named(kind) == "long")).drop(kind)
-    cut = by_parts(in_parts, keys, order, text, least, alike)
-    joined, a, b = pairs_within(marked, [*keys, kind], order, alike, work)
+    cut = by_parts(in_parts, keys, order, text, least, alike, fresh)
+    joined, a, b = pairs_within(marked, [*keys, kind], order, alike, work, fresh)
     sides = (F.struct(*(s(c).alias(c) for c in columns)) for s in (a, b))
     return cut.unionByName(joined.select(*(s.alias(n) for s, n in zip(sides, "ab"))))

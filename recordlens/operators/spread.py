@@ -106,9 +106,13 @@ def pairs_within(
     order: str,
     keep: Callable[[Side, Side], Column],
     work: Workspace | None = None,
+    fresh: str | None = None,
 ) -> tuple[DataFrame, Side, Side]:
     """Pairs of rows that agree on ``keys`` and satisfy ``keep``, smaller ``order`` first.
 
+    With ``fresh`` only pairs with a fresh row, which then is the first side; two rows
+    that are not fresh do not meet.
+
     ``keep`` is part of the join condition, so a pair that fails it never leaves
     the join. The rows are written once; what looks for groups of more than TILE_ROWS
     rows and both sides of the join read what is written. Without such groups it is a
@@ -123,6 +127,7 @@ def pairs_within(
         order: Column that orders the two rows; equal values do not pair.
         keep: Condition on the two sides, given as column lookups.
         work: Where the rows are written, for who wants to remove them.
+        fresh: Boolean column of the rows that have not been paired before.
 
     Returns:
         The joined frame and the column lookups of its two sides.
@@ -136,7 +141,8 @@ def pairs_within(
 
     def meet(apart: DataFrame, on: Sequence[str], condition: Column) -> DataFrame:
         agree = reduce(and_, (a(k) == b(k) for k in on))
-        return apart.alias("a").join(apart.alias("b"), agree & condition)
+        first = apart if fresh is None else apart.filter(named(fresh))
+        return first.alias("a").join(apart.alias("b"), agree & condition)
 
     spark = rows.sparkSession
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -149,6 +155,8 @@ def pairs_within(
         free_name(rows, c) for c in ("size", "slices", "slice", "met", "low_slice", "high_slice")
     )
     in_order = a(order) < b(order)
+    if fresh is not None:
+        in_order = in_order | (~b(fresh) & (a(order) != b(order)))
     sizes = (
         rows.groupBy(*(named(k).alias(t) for k, t in large.items()))
         .agg(F.count(F.lit(1)).alias(size))

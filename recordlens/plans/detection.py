@@ -15,7 +15,6 @@ from recordlens.functions.numeric import finite
 from recordlens.operators.anomaly import (
     SCORE,
     GlobalDetector,
-    IQRDetector,
     available_detectors,
     get_detector,
     report,
@@ -52,7 +51,7 @@ class DetectionPipeline:
         summaries = {
             name: d.summarise(df, x)
             for name, d in self._by_name.items()
-            if isinstance(d, IQRDetector) and d.exact
+            if isinstance(d, GlobalDetector) and not d.from_rows
         }
         shared = {
             name: d

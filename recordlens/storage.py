@@ -33,13 +33,24 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 class Workspace:
-    """Tables of one run, each written below the shared folder."""
+    """Tables of one run, each written below the shared folder, or in a folder that stays."""
 
-    def __init__(self, spark: SparkSession, purpose: str) -> None:
+    def __init__(self, spark: SparkSession, purpose: str, folder: str | None = None) -> None:
         self.spark = spark
-        self.folder = f"{shared_folder(spark)}/recordlens/{purpose}-{uuid.uuid4().hex}"
+        own = f"recordlens/{purpose}-{uuid.uuid4().hex}"
+        self.folder = f"{shared_folder(spark)}/{own}" if folder is None else folder.rstrip("/")
         self.names: set[str] = set()
 
+    def _place(self, name: str) -> tuple[Any, Any]:
+        """A table's path and the file system it lies in."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def holds(self, name: str) -> bool:
+        """Whether a table of that name has been written whole, by whatever run."""
+        path, files = self._place(f"{name}/_SUCCESS")
+        return files.exists(path)
+
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and return the written table."""
         path = f"{self.folder}/{name}"
@@ -62,11 +73,9 @@ class Workspace:
 
     def forget(self, *names: str) -> None:
         """Remove tables that nothing reads any more; those never kept are skipped."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for name in self.names.intersection(names):
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
-            path.getFileSystem(conf).delete(path, True)
+            path, files = self._place(name)
+            files.delete(path, True)
             self.names.remove(name)
 
     def forget_all_but(self, *names: str) -> None:

@@ -14,9 +14,14 @@ from recordlens.operators.matching import MatchScorer
 from recordlens.operators.pairs import block_sizes, candidate_pairs, compare_pairs
 from recordlens.operators.quality import (
     anomaly_metrics,
+    cluster_measures,
+    contingency,
     flag_measures,
+    merge_contingency,
     pair_measures,
+    pair_measures_of,
     pairwise_resolution_metrics,
+    partition_measures,
 )
 from recordlens.operators.similar import similar_pairs
 from recordlens.operators.states import (
@@ -49,17 +54,22 @@ __all__ = [
     "available_detectors",
     "block_sizes",
     "candidate_pairs",
+    "cluster_measures",
     "compare_pairs",
     "connected_components",
+    "contingency",
     "detect_anomalies",
     "flag_measures",
     "flag_totals",
     "get_detector",
+    "merge_contingency",
     "merge_moments",
     "merge_sketches",
     "moment_states",
     "pair_measures",
+    "pair_measures_of",
     "pairwise_resolution_metrics",
+    "partition_measures",
     "quantile_sketches",
     "rank_error",
     "register_detector",

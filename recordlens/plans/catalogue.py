@@ -11,11 +11,29 @@ from recordlens.operators.anomaly import SCORE, GaussianDetector, IQRDetector, Z
 from recordlens.operators.components import connected_components
 from recordlens.operators.matching import MatchScorer
 from recordlens.operators.pairs import block_sizes, candidate_pairs, compare_pairs
-from recordlens.operators.quality import flag_measures, pair_measures
+from recordlens.operators.quality import (
+    cluster_measures,
+    contingency,
+    flag_measures,
+    merge_contingency,
+    pair_measures,
+    pair_measures_of,
+    partition_measures,
+)
+from recordlens.operators.states import (
+    merge_moments,
+    merge_sketches,
+    moment_states,
+    quantile_sketches,
+    rank_error,
+    sketch_quantile,
+    spread_of,
+)
 from recordlens.plans.detection import DetectionPipeline, detect_anomalies, flag_totals
+from recordlens.plans.incremental import EntityStore
 from recordlens.plans.resolution import ResolutionPipeline, resolve_entities
 from recordlens.plans.scorecard import scorecard
-from recordlens.sources import plant_anomalies, plant_duplicates
+from recordlens.sources import ColumnarTable, plant_anomalies, plant_duplicates
 from recordlens.storage import Workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +41,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 CUSTOM_WEIGHTS = {"name_sim": 0.5, "email_exact": 0.25, "city_sim": 0.25}
 CUSTOM_THRESHOLD = 0.8
 LOW_THRESHOLD = 0.5
+# So low that a similar name and city alone can match.
+NAMES_THRESHOLD = 0.45
+# Rank errors of a sketch that one quantile in 10,000 may exceed.
+SLACK = 2
 CHAIN = 50
 # Without a common divisor with CHAIN: steps of this length visit every key of a chain.
 STRIDE = 17
@@ -310,6 +332,128 @@ def scorecard_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(card, "precision", "recall", "f1")
 
 
+def _halves(spark: SparkSession, df: DataFrame, key: str, state, name: str) -> DataFrame:
+    """States of the rows with even keys and of the others, each written, under one another."""
+    work = Workspace(spark, name)
+    odd = F.pmod(F.col(key), F.lit(2)) == 1
+    first, second = (
+        work.keep(state(df.filter(half)), side) for half, side in ((~odd, "even"), (odd, "odd"))
+    )
+    return first.unionByName(second)
+
+
+def moments_events_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each type's moments, half of the events merged into the state of the other half."""
+    events = _table(spark, sf_dir, "events")
+    states = _halves(
+        spark, events, "event_id", lambda df: moment_states(df, "value", ["event_type"]), "moments"
+    )
+    merged = merge_moments(states, ["event_type"]).withColumn("spread", spread_of())
+    return _rounded(merged, "mean", "spread").select("event_type", "n", "mean", "spread")
+
+
+def zscore_events_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events")
+    states = _halves(spark, events, "event_id", lambda df: moment_states(df, "value"), "moments")
+    report = ZScoreDetector(states=states).detect(events, "value")
+    return _flagged(report.flagged, "event_id", "value")
+
+
+def gauss_events_user_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _table(spark, sf_dir, "events")
+    states = _halves(
+        spark, events, "event_id", lambda df: moment_states(df, "value", ["user_id"]), "moments"
+    )
+    report = GaussianDetector("user_id", states=states).detect(events, "value")
+    return _flagged(report.flagged, "event_id", "user_id", "value")
+
+
+def quartiles_merged_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether quartiles out of merged daily sketches are as near in rank as is stated."""
+    events = _table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
+    daily = Workspace(spark, "sketches").keep(
+        quantile_sketches(events, "value", ["event_type", "day"]), "daily"
+    )
+    quartiles = merge_sketches(daily.drop("day"), ["event_type"]).select(
+        F.col("event_type").alias("its_type"),
+        sketch_quantile(0.25).alias("q1"),
+        sketch_quantile(0.75).alias("q3"),
+    )
+    x, n = F.col("value"), F.col("n_values")
+    counted = (
+        events.join(quartiles, F.col("event_type").eqNullSafe(F.col("its_type")))
+        .groupBy("event_type")
+        .agg(
+            F.count(x).alias("n_values"),
+            *(
+                agg.alias(f"{q}_{name}")
+                for q in ("q1", "q3")
+                for name, agg in (
+                    ("below", F.count_if(x < F.col(q))),
+                    ("upto", F.count_if(x <= F.col(q))),
+                )
+            ),
+        )
+    )
+    slack = n * (SLACK * rank_error()) + 1
+    return counted.select(
+        "event_type",
+        "n_values",
+        *(
+            (
+                (F.col(f"{q}_below") <= n * share + slack) & (F.col(f"{q}_upto") >= n * share - slack)
+            ).alias(f"{q}_within")
+            for q, share in (("q1", 0.25), ("q3", 0.75))
+        ),
+    )
+
+
+def zscore_clicks_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unusual clicks, read through the library's own format, which takes over the filter."""
+    source = ColumnarTable(f"{sf_dir}/events.parquet", ("event_id", "event_type", "value"), "value")
+    clicks = source.load(spark).filter(F.col("event_type") == "click")
+    return _flagged(detect_anomalies(clicks, "value", threshold=2.0).flagged, "event_id", "value")
+
+
+def entity_clusters_similar_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scorer = MatchScorer(threshold=NAMES_THRESHOLD)
+    return ResolutionPipeline(scorer).resolve(_customers(spark, sf_dir)).clusters
+
+
+def entity_clusters_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entities of records that arrive in two batches, the larger ids first."""
+    customers = _written(_customers(spark, sf_dir), "customers")
+    late = F.pmod(F.xxhash64("true_entity_id"), F.lit(3)) == 0
+    store = EntityStore(spark, f"{Workspace(spark, 'batches').folder}/store")
+    store.add(customers.filter(~late))
+    store.add(customers.filter(late))
+    return store.clusters()
+
+
+def _contingency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities against the truth, added up from the stored tables of two halves."""
+    customers = _written(_customers(spark, sf_dir), "customers")
+    clusters = _written(resolve_entities(customers).clusters, "clusters")
+    return merge_contingency(
+        _halves(spark, clusters, "record_id", lambda df: contingency(df, customers), "contingency")
+    )
+
+
+def pairwise_metrics_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(pair_measures_of(_contingency(spark, sf_dir)), "precision", "recall", "f1")
+
+
+def cluster_measures_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(cluster_measures(_contingency(spark, sf_dir)), "purity", "completeness")
+
+
+def partition_measures_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = partition_measures(_written(_contingency(spark, sf_dir), "table"))
+    return _rounded(
+        measured, "purity", "inverse_purity", "homogeneity", "completeness", "v_measure"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "zscore_events": zscore_events,
     "zscore_documents_t2": zscore_documents_t2,
@@ -345,4 +489,14 @@ QUERIES: dict[str, Query] = {
     "components_hub": components_hub,
     "pairwise_metrics": pairwise_metrics,
     "scorecard": scorecard_planted,
+    "moments_events_merged": moments_events_merged,
+    "zscore_events_merged": zscore_events_merged,
+    "gauss_events_user_merged": gauss_events_user_merged,
+    "quartiles_merged_sketches": quartiles_merged_sketches,
+    "zscore_clicks_source": zscore_clicks_source,
+    "entity_clusters_similar_names": entity_clusters_similar_names,
+    "entity_clusters_batches": entity_clusters_batches,
+    "pairwise_metrics_merged": pairwise_metrics_merged,
+    "cluster_measures_merged": cluster_measures_merged,
+    "partition_measures_merged": partition_measures_merged,
 }

@@ -9,7 +9,13 @@ from __future__ import annotations
 
 from recordlens.functions.draws import DRAW_BITS, WORD_DIGITS
 from recordlens.operators.matching import DEFAULT_WEIGHTS
-from recordlens.plans.catalogue import CHAIN, CUSTOM_THRESHOLD, CUSTOM_WEIGHTS, LOW_THRESHOLD
+from recordlens.plans.catalogue import (
+    CHAIN,
+    CUSTOM_THRESHOLD,
+    CUSTOM_WEIGHTS,
+    LOW_THRESHOLD,
+    NAMES_THRESHOLD,
+)
 from recordlens.sources.planted import COPY_SLOTS
 
 
@@ -268,6 +274,42 @@ def _pair_quality() -> str:
     )
 
 
+_CONTINGENCY = """
+    joint AS (
+      SELECT entity_id, true_entity_id AS true_id, count(*) AS n
+      FROM clusters JOIN customers USING (record_id) GROUP BY ALL)"""
+
+
+def _cluster_quality() -> str:
+    return f"""{_CONTINGENCY}
+    SELECT entity_id, sum(n) OVER e::BIGINT AS n_records, count(*) OVER e AS n_true, true_id, n AS n_shared,
+           (SELECT sum(n) FROM joint o WHERE o.true_id = j.true_id)::BIGINT AS n_actual,
+           round(n::DOUBLE / sum(n) OVER e, 6) AS purity,
+           round(n::DOUBLE / (SELECT sum(n) FROM joint o WHERE o.true_id = j.true_id), 6) AS completeness
+    FROM joint j
+    WINDOW e AS (PARTITION BY entity_id)
+    QUALIFY row_number() OVER (PARTITION BY entity_id ORDER BY n DESC, true_id) = 1"""
+
+
+def _partition_quality() -> str:
+    return f"""{_CONTINGENCY},
+    e AS (SELECT sum(n) AS n, max(n) AS most FROM joint GROUP BY entity_id),
+    t AS (SELECT sum(n) AS n, max(n) AS most FROM joint GROUP BY true_id),
+    total AS (SELECT sum(n)::DOUBLE AS n FROM joint),
+    h AS (
+      SELECT (SELECT -sum(e.n / total.n * ln(e.n / total.n)) FROM e, total) AS he,
+             (SELECT -sum(t.n / total.n * ln(t.n / total.n)) FROM t, total) AS ht,
+             (SELECT -sum(j.n / total.n * ln(j.n / total.n)) FROM joint j, total) AS hj),
+    v AS (SELECT 1 - (hj - he) / ht AS homogeneity, 1 - (hj - ht) / he AS completeness FROM h)
+    SELECT total.n::BIGINT AS n_records, (SELECT count(*) FROM e) AS n_entities,
+           (SELECT count(*) FROM t) AS n_true,
+           round((SELECT sum(most) FROM e) / total.n, 6) AS purity,
+           round((SELECT sum(most) FROM t) / total.n, 6) AS inverse_purity,
+           round(homogeneity, 6) AS homogeneity, round(completeness, 6) AS completeness,
+           round(2 * homogeneity * completeness / (homogeneity + completeness), 6) AS v_measure
+    FROM total, v"""
+
+
 _SCORE_COLUMNS = "record_id_a, record_id_b, round(match_score, 6) AS match_score, is_match"
 
 
@@ -403,4 +445,25 @@ def oracles() -> dict[str, str]:
             WITH RECURSIVE {_default_scores()}, {_closure()}, {_pair_quality()}
             SELECT * FROM quality""",
         "scorecard": _scorecard(),
+        "moments_events_merged": """
+            SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean,
+                   round(stddev_samp(value), 6) AS spread FROM events GROUP BY event_type""",
+        "zscore_events_merged": zscore,
+        "gauss_events_user_merged": gauss,
+        "quartiles_merged_sketches": """
+            SELECT event_type, count(value) AS n_values, true AS q1_within, true AS q3_within
+            FROM events GROUP BY event_type""",
+        "zscore_clicks_source": _zscore(
+            "(SELECT * FROM events WHERE event_type = 'click')", "value", "event_id, value", 2
+        ),
+        "entity_clusters_similar_names": f"""
+            WITH RECURSIVE {_default_scores(NAMES_THRESHOLD)}, {clusters}""",
+        "entity_clusters_batches": f"WITH RECURSIVE {_default_scores()}, {clusters}",
+        "pairwise_metrics_merged": f"""
+            WITH RECURSIVE {_default_scores()}, {_closure()}, {_pair_quality()}
+            SELECT * FROM quality""",
+        "cluster_measures_merged": f"""
+            WITH RECURSIVE {_default_scores()}, {_closure()}, {_cluster_quality()}""",
+        "partition_measures_merged": f"""
+            WITH RECURSIVE {_default_scores()}, {_closure()}, {_partition_quality()}""",
     }

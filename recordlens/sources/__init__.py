@@ -1,6 +1,7 @@
-"""Sources: labelled data, planted by Spark into rows of any table."""
+"""Sources: given Parquet tables, and labelled data planted into rows of any table."""
 
 from recordlens.sources.base import DataSource
+from recordlens.sources.columnar import ColumnarTable, register
 from recordlens.sources.planted import (
     SyntheticCustomers,
     SyntheticTransactions,
@@ -9,9 +10,11 @@ from recordlens.sources.planted import (
 )
 
 __all__ = [
+    "ColumnarTable",
     "DataSource",
     "SyntheticCustomers",
     "SyntheticTransactions",
     "plant_anomalies",
     "plant_duplicates",
+    "register",
 ]

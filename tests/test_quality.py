@@ -80,3 +80,62 @@ def test_measured_frames_name_their_columns(spark):
     assert pair_measures(clusters, truth).columns == [
         "n_records", "n_entities", "tp", "fp", "fn", "precision", "recall", "f1", "support",
     ]
+
+
+def test_contingency_adds_up(spark):
+    """Measures of a table that was added up from parts are those of the whole."""
+    import random
+    from collections import Counter
+
+    from recordlens import (
+        cluster_measures,
+        contingency,
+        merge_contingency,
+        pair_measures_of,
+        partition_measures,
+    )
+
+    rng = random.Random(3)
+    rows = [(i, f"e{rng.randrange(12)}", rng.choice([None, *range(8)])) for i in range(300)]
+    clusters = spark.createDataFrame([r[:2] for r in rows], "record_id long, entity_id string")
+    truth = spark.createDataFrame([(r[0], r[2]) for r in rows], "record_id long, true_entity_id long")
+    parts = [contingency(clusters.filter(f"record_id % 3 = {i}"), truth) for i in range(3)]
+    merged = merge_contingency(merge_contingency(*parts[:2]), parts[2])
+    joint = Counter((e, t) for _, e, t in rows if t is not None)
+    assert {(r["entity_id"], r["true_id"]): r["n"] for r in merged.collect()} == joint
+    assert pair_measures_of(merged).first() == pair_measures(clusters, truth).first()
+
+    sizes, actual = Counter(), Counter()
+    for (e, t), n in joint.items():
+        sizes[e] += n
+        actual[t] += n
+    found = {r["entity_id"]: r for r in cluster_measures(merged).collect()}
+    assert set(found) == set(sizes)
+    for e, row in found.items():
+        n, t = min(((-n, t) for (x, t), n in joint.items() if x == e))
+        assert (row["n_records"], row["true_id"], row["n_shared"], row["n_actual"]) == (sizes[e], t, -n, actual[t])
+        assert row["n_true"] == sum(x == e for x, _ in joint)
+        assert (row["purity"], row["completeness"]) == pytest.approx((-n / sizes[e], -n / actual[t]))
+
+    import math
+
+    total = sum(joint.values())
+    entropy = lambda c: -sum(n / total * math.log(n / total) for n in c.values())
+    hj, he, ht = map(entropy, (joint, sizes, actual))
+    row = partition_measures(merged).first()
+    assert (row["n_records"], row["n_entities"], row["n_true"]) == (total, len(sizes), len(actual))
+    assert row["homogeneity"] == pytest.approx(1 - (hj - he) / ht)
+    assert row["completeness"] == pytest.approx(1 - (hj - ht) / he)
+    assert row["purity"] == pytest.approx(sum(max(n for (x, _), n in joint.items() if x == e) for e in sizes) / total)
+
+
+def test_contingency_of_nothing_and_of_perfect_clusters(spark):
+    from recordlens import cluster_measures, contingency, partition_measures
+
+    clusters = spark.createDataFrame([(1, 1), (2, 1), (3, 3)], "record_id long, entity_id long")
+    truth = spark.createDataFrame([(1, 7), (2, 7), (3, 9)], "record_id long, true_entity_id long")
+    row = partition_measures(contingency(clusters, truth)).first()
+    assert tuple(row) == (3, 2, 2, 1.0, 1.0, 1.0, 1.0, 1.0)
+    nothing = contingency(clusters.limit(0), truth)
+    assert cluster_measures(nothing).count() == 0
+    assert tuple(partition_measures(nothing).first()) == (0, 0, 0, 0.0, 0.0, 1.0, 1.0, 1.0)

@@ -20,6 +20,8 @@ import heapq
 import json
 from collections.abc import Iterable, Iterator
 from functools import cached_property
+from itertools import batched
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,13 @@ from pyspark.sql import DataFrame
 from recordlens.llm.batches import id_and_text, slices
 
 SLICE_BYTES = 4 << 20
-REMEMBERED = 300_000
+# Bytes that one generation of remembered units, or pieces, may take, and those of an
+# entry besides its contents. What is longer than LONG_UNIT is not remembered.
+REMEMBERED_BYTES = 64 << 20
+ENTRY_BYTES = 320
+LONG_UNIT = 1 << 10
+# Units of a text with special strings that are looked at together.
+BLOCK_UNITS = 1 << 14
 # Characters of a text that are cut into units and hashed together.
 BLOCK_CHARS = 128 << 10
 # Pieces of fewer bytes are merged at once, without a buffer; those of so few characters
@@ -245,6 +253,41 @@ def merge_long(piece: bytes, vocabulary: Vocabulary) -> list[int]:
     return [p for p in parts if p is not None]
 
 
+class Recent:
+    """What was made of texts of late, in two generations of bounded size.
+
+    When the younger one is full it becomes the older one, which is forgotten; what is
+    asked for moves back into the younger one. So frequent texts are never made anew.
+    """
+
+    def __init__(self) -> None:
+        self.young: dict[str, Any] = {}
+        self.old: dict[str, Any] = {}
+        self.n_bytes = 0
+        self.long: list[str] = []
+
+    def missing(self, wanted: set[str]) -> set[str]:
+        """Those that are not known; the others are in ``young`` afterwards."""
+        for text in self.long:
+            self.young.pop(text, None)
+        self.long.clear()
+        if self.n_bytes > REMEMBERED_BYTES:
+            self.old, self.young, self.n_bytes = self.young, {}, 0
+        wanted = wanted - self.young.keys()
+        again = wanted & self.old.keys()
+        for text in again:
+            self.add(text, self.old.pop(text))
+        return wanted - again
+
+    def add(self, text: str, made: Any) -> None:
+        """Remember it; a long text until the next question only."""
+        self.young[text] = made
+        if len(text) > LONG_UNIT:
+            self.long.append(text)
+        else:
+            self.n_bytes += ENTRY_BYTES + 8 * len(text)
+
+
 class Encoder:
     """Ids of units of text without special strings; remembers pieces it has merged."""
 
@@ -253,7 +296,7 @@ class Encoder:
 
         self.vocabulary = vocabulary
         self.pieces = regex.compile(PIECE).findall
-        self.known: dict[str, list[int]] = {}
+        self.known = Recent()
 
     @cached_property
     def lookahead(self) -> int:
@@ -261,18 +304,17 @@ class Encoder:
 
     def learn(self, pieces: Iterable[str]) -> None:
         """Merge the pieces that are new, short ones many at a time."""
-        new = {p for p in pieces if p not in self.known}
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
+        new = self.known.missing({p for p in pieces if len(p) <= SIDE_BY_SIDE})
         # In order of length, so that the rows of a table are about equally long.
-        short = sorted((p for p in new if len(p) <= SIDE_BY_SIDE), key=len)
+        short = sorted(new, key=len)
         for start in range(0, len(short), ROWS):
             some = short[start : start + ROWS]
             found = merge_many([p.encode("utf-8", "replace") for p in some], self.vocabulary)
-            self.known.update(zip(some, found))
+            for piece, ids in zip(some, found):
+                self.known.add(piece, ids)
 
     def piece(self, piece: str) -> list[int]:
-        found = self.known.get(piece)
+        found = self.known.young.get(piece)
         if found is not None:
             return found
         body = piece.encode("utf-8", "replace")
@@ -353,28 +395,25 @@ def encode_and_decode(
         cut = re.compile(UNIT).findall
         lone_space = re.compile(rf"[^{SPACE}](?= [^{SPACE}])")
         # Of a unit: its ids as text, each behind a comma, how many, and their bytes.
-        known: dict[str, tuple[bytes, int, bytes]] = {}
+        known = Recent()
         token_bytes = vocabulary.bytes_of
 
         def entry(ids: list[int]) -> tuple[bytes, int, bytes]:
             text = "".join([f",{i}" for i in ids]).encode()
             return text, len(ids), b"".join([token_bytes[i] for i in ids])
 
-        def learn(found: list[str]) -> None:
-            """Encode the units that are new."""
-            new = list({u for u in found if u not in known})
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(set(found))
-            for unit in new:
-                if unit in vocabulary.special:
-                    known[unit] = entry([vocabulary.special[unit]])
-            plain = [u for u in new if u not in vocabulary.special]
-            known.update((unit, entry(ids)) for unit, ids in encoder.encode_many(plain))
+        def learn(found: Iterable[str]) -> None:
+            """Encode the units that are new; all are in ``known.young`` afterwards."""
+            new = known.missing(set(found))
+            for unit in new & vocabulary.special.keys():
+                known.add(unit, entry([vocabulary.special[unit]]))
+            for unit, ids in encoder.encode_many(list(new - vocabulary.special.keys())):
+                known.add(unit, entry(ids))
 
         def blocks(text: str) -> Iterator[list[str]]:
             if any(s in text for s in vocabulary.special):
-                yield [u for u, _ in units(text, vocabulary.special)]
+                found = (u for u, _ in units(text, vocabulary.special))
+                yield from map(list, batched(found, BLOCK_UNITS))
                 return
             # Long texts are cut before a lone space between two words, where a unit begins.
             start = 0
@@ -386,13 +425,13 @@ def encode_and_decode(
                 yield cut(text, start, stop)
                 start = stop
 
-        def digest(body: bytes) -> tuple[int, str, str, bool]:
-            text = body.decode("utf-8", "replace")
+        def digest(body: bytes, own: Iterable[list[str]], learned: bool) -> tuple:
             id_hash, text_hash, count, first = hashlib.sha256(), hashlib.sha256(), 0, True
             machine = codecs.getincrementaldecoder("utf-8")("replace")
-            for block in blocks(text):
-                learn(block)
-                found = [known[unit] for unit in block]
+            for block in own:
+                if not learned:
+                    learn(block)
+                found = [known.young[unit] for unit in block]
                 ids = b"".join([e[0] for e in found])
                 count += sum([e[1] for e in found])
                 id_hash.update(ids[1:] if first else ids)
@@ -405,10 +444,17 @@ def encode_and_decode(
 
         for part in slices(batches, SLICE_BYTES):
             bodies = part.column("body").to_pylist()
-            # The units of short texts are learned together, which is faster.
-            texts = [b.decode("utf-8", "replace") for b in bodies if len(b) < BLOCK_CHARS]
-            learn([u for t in texts for block in blocks(t) for u in block])
-            rows = [digest(body) for body in bodies]
+            texts = (b.decode("utf-8", "replace") for b in bodies)
+            # The units of short texts are cut once and learned together, which is faster.
+            short = [len(b) < BLOCK_CHARS for b in bodies]
+            own = [list(blocks(t)) if s else blocks(t) for t, s in zip(texts, short)]
+            learn({u for some, s in zip(own, short) if s for block in some for u in block})
+            rows: list = [
+                digest(b, some, True) if s else None for b, some, s in zip(bodies, own, short)
+            ]
+            for i, (body, some) in enumerate(zip(bodies, own)):
+                if rows[i] is None:
+                    rows[i] = digest(body, some, False)
             out = [part.column("id"), *(pa.array(c) for c in zip(*rows))]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"]
             yield pa.RecordBatch.from_arrays(out, names=names)

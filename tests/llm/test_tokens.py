@@ -124,3 +124,20 @@ def test_long_piece_is_streamed(vocabulary, library):
     text = "".join(random.Random(1).choice(["a", "th", "in", "ing", "re", "x"]) for _ in range(50_000))
     assert len(text) > 2 * bpe.sufficient_lookahead(vocabulary.merges)
     assert bpe.encode(text, vocabulary) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_recent_entries_come_in_two_generations(monkeypatch):
+    from recordlens.llm import bpe
+
+    monkeypatch.setattr(bpe, "REMEMBERED_BYTES", 10 * bpe.ENTRY_BYTES)
+    known, made = bpe.Recent(), 0
+    frequent = {"the", "of"}
+    for i in range(200):
+        new = known.missing(frequent | {f"w{i}", f"v{i}", "x" * (bpe.LONG_UNIT + 1)})
+        made += len(new & frequent)
+        for text in new:
+            known.add(text, len(text))
+        assert all(known.young[t] == len(t) for t in frequent | {f"w{i}", f"v{i}"})
+        assert len(known.young) + len(known.old) < 40 and sum(len(t) > bpe.LONG_UNIT for t in known.young) == 1
+    # What is asked for all the time is made once.
+    assert made == len(frequent)

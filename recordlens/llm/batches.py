@@ -19,10 +19,12 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_bytes(text_col).alias("body"))
 
 
-def slices(batches: Iterable[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterable[pa.RecordBatch], limit: int, body: str = "body"
+) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the bodies of a piece hold ``limit`` bytes or are one body."""
     for batch in batches:
-        ends = batch.column("body").cast(pa.large_binary())
+        ends = batch.column(body).cast(pa.large_binary())
         offsets = pa.Array.from_buffers(
             pa.int64(), len(ends) + 1, [None, ends.buffers()[1]], offset=ends.offset
         ).to_numpy()

@@ -6,7 +6,8 @@ last window of the length next below 4/5 of its own. A multi-index of the items'
 fingerprints holds, for each of four 16-bit blocks, all values within a quarter of
 the radius: two fingerprints within the radius agree so far in at least one block,
 hence no pair within the radius is missed. Candidates are then verified exactly, by
-the weight of the item's 5-word shingles that stand in the item-sized stretch of text.
+the weight of the item's 5-word shingles that stand in the item-sized stretch of text, or
+as many words before or behind it as the item may have shingles that are missing.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from recordlens.llm.batches import id_and_text, slices, text_bytes
 from recordlens.llm.units import grams, mix, whole_windows, words_of
@@ -32,6 +34,8 @@ THRESHOLD = 0.8
 # Items that one scan of the documents looks for; more items take more scans.
 ITEMS_PER_SCAN = 2_000
 SLICE_BYTES = 2 << 20
+# Starts of an item that are told apart, by its words.
+GRID = 64
 # Words whose bits are summed together.
 WORDS = 1 << 15
 
@@ -49,12 +53,13 @@ def lengths_up_to(longest: int) -> list[int]:
 def fingerprints(values: np.ndarray, lengths: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
     """SimHash of the windows of all lengths: (length, first window, fingerprints)."""
     longest = max(lengths)
+    # Sums may wrap around; differences of up to a window's length are right all the same.
+    kind = np.uint16 if longest < 1 << 16 else np.uint32
     for base in range(0, len(values), WORDS):
         part = values[base : base + WORDS + longest - 1]
         bits = np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1)
-        # Sums wrap around; differences of up to a window's length are right all the same.
-        sums = np.zeros((len(part) + 1, 64), np.uint16)
-        np.cumsum(bits, axis=0, dtype=np.uint16, out=sums[1:])
+        sums = np.zeros((len(part) + 1, 64), kind)
+        np.cumsum(bits, axis=0, dtype=kind, out=sums[1:])
         for length in lengths:
             n = min(len(part) - length + 1, WORDS)
             if n > 0:
@@ -110,9 +115,9 @@ def build_index(ids: list, bodies: list[bytes]) -> Index:
     rows: dict[int, list[tuple[int, int, int]]] = {}
     for i, (size, own) in enumerate(zip(index.sizes, values)):
         length = int(ladder[np.searchsorted(ladder, max(size * 4 // 5, 1), "right") - 1])
-        _, _, prints = next(fingerprints(own[:WORDS], [length]))
         for offset in sorted({0, (size - length) // 2, size - length}):
-            rows.setdefault(length, []).append((int(prints[offset]), i, offset))
+            _, _, prints = next(fingerprints(own[offset : offset + length], [length]))
+            rows.setdefault(length, []).append((int(prints[0]), i, offset))
     near = [0]
     for distance in range(1, RADIUS // BLOCKS + 1):
         near += [sum(1 << b for b in c) for c in combinations(range(BLOCK_BITS), distance)]
@@ -176,25 +181,38 @@ def matches(index: Index, bodies: list[bytes], threshold: float) -> list[tuple]:
         allowed = valid[length][base : base + len(prints)]
         window, entry, distance = candidates(index, length, prints, allowed)
         _, item_of, offset_of = index.entries[length]
-        for w, e, d in zip((window + base).tolist(), entry.tolist(), distance.tolist()):
+        order = np.lexsort((window, distance))
+        near = zip((window[order] + base).tolist(), entry[order].tolist(), distance[order].tolist())
+        for w, e, d in near:
             item, start = int(item_of[e]), w - int(offset_of[e])
             doc = int(np.searchsorted(ends, w, "right"))
             start = max(start, int(begins[doc]))
             stop = min(start + index.sizes[item], int(ends[doc]))
-            if (item, start) in checked:
+            # Windows of a long item hardly change from word to word; one start stands for
+            # those next to it, and its stretch is wider by as much.
+            grid = max(index.sizes[item] // GRID, 1)
+            if (item, start // grid) in checked:
                 continue
-            checked.add((item, start))
-            here = shingles_of(words.values[start:stop])
-            similarity = float(index.weights[item][np.isin(index.shingles[item], here)].sum())
+            checked.add((item, start // grid))
+            # Words that the document has more push the item's ends out.
+            more = ceil(index.sizes[item] * (1 - threshold)) + grid - 1
+            wide = max(start - more, int(begins[doc])), min(stop + more, int(ends[doc]))
+
+            def found_in(a: int, b: int, item=item) -> float:
+                here = shingles_of(words.values[a:b])
+                return float(index.weights[item][np.isin(index.shingles[item], here)].sum())
+
+            similarity = found_in(*wide)
             if similarity < threshold:
                 continue
             key = (doc, item)
-            row = (similarity, -d, -start, stop - start)
+            # Of stretches that are as similar, the one that needs the least widening.
+            row = (similarity, found_in(start, stop), -d, -start, stop - start)
             if key not in best or row > best[key]:
                 best[key] = row
     return [
         (doc, item, s, -start - int(begins[doc]), n, -d)
-        for (doc, item), (s, d, start, n) in sorted(best.items())
+        for (doc, item), (s, _, d, start, n) in sorted(best.items())
     ]
 
 
@@ -233,8 +251,9 @@ def find_passages(
     """Pairs of documents and benchmark items whose passage they hold.
 
     Columns: doc_id, item_id, similarity (share of the item's shingle weight found in
-    a stretch of the item's length), begin and n_words of the best stretch, and the
-    distance of the fingerprints that led there. Words are compared with A-Z in lower
+    a stretch of the item's length, widened at both ends by 1 - ``threshold`` of that), begin
+    and n_words of the best stretch without that, and the distance of the fingerprints that
+    led there. Items and texts may have any length. Words are compared with A-Z in lower
     case. Texts and items without words match nothing; of items with equal texts the
     smallest id stands for all; rows with equal ids are documents of their own; other
     columns are ignored.
@@ -275,23 +294,29 @@ def without_passages(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
 ) -> DataFrame:
-    """The documents that hold no passage, with all their columns."""
+    """The documents that hold no passage, with all their columns.
+
+    The text goes to Python once, as the column that it is.
+    """
     kept = docs
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    text = names[docs.columns.index(text_col)]
+    if not isinstance(docs.schema[text_col].dataType, StringType):
+        text = "body"
     for ids, bodies in item_blocks(items, item_id_col, item_text_col):
 
         def clean(batches: Iterator[pa.RecordBatch], ids=ids, bodies=bodies):
             index = build_index(ids, bodies)
-            for part in slices(batches, SLICE_BYTES):
-                rows = matches(index, part.column("body").to_pylist(), threshold)
+            for part in slices(batches, SLICE_BYTES, text):
+                own = part.column(text).cast(pa.binary()).fill_null(b"").to_pylist()
+                rows = matches(index, own, threshold)
                 keep = np.ones(part.num_rows, bool)
                 keep[[row[0] for row in rows]] = False
-                yield part.filter(pa.array(keep)).select(
-                    [f"c{i}" for i in range(len(part.schema.names) - 1)]
-                )
+                yield part.filter(pa.array(keep)).select(names)
 
         plain = kept.select(
-            *(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(kept.columns)),
-            text_bytes(text_col).alias("body"),
+            *(F.col(f"`{c}`").alias(n) for c, n in zip(kept.columns, names)),
+            *([text_bytes(text_col).alias(text)] if text == "body" else []),
         )
         schema = ", ".join(
             f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(kept.schema.fields)

@@ -105,3 +105,37 @@ def test_stages_keep_the_columns_of_documents(spark):
             assert out.dtypes == docs.dtypes, name
             out.count()
     assert corpus_pipeline.STAGES[-1][1](spark, both.limit(0), str(TABLES)).count() == 0
+
+
+def test_stages_leave_clashing_columns_alone(spark):
+    """A column of the documents that is named like one of an operator keeps its values."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    docs = queries.documents(spark, str(TABLES)).limit(60)
+    extra = {"n_words": F.lit(-7), "n_removed": F.lit(-8), "id": F.lit("x"), "body": F.lit("y"), "c0": F.lit(1.5)}
+    odd = docs.withColumns(extra | {"kept": F.lit(False), "carried_0": F.col("doc_id") + 1})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, odd, str(TABLES))
+        assert out.columns == odd.columns, name
+        rows = out.collect()
+        assert rows, name
+        for r in rows:
+            assert (r.n_words, r.n_removed, r.id, r.body, r.c0, r.kept) == (-7, -8, "x", "y", 1.5, False), name
+            assert r.carried_0 == r.doc_id + 1, name
+
+
+def test_null_and_repeated_ids_and_no_benchmark(spark, tmp_path):
+    import corpus_pipeline
+
+    docs = queries.documents(spark, str(TABLES))
+    nothing = spark.read.parquet(str(TABLES / "benchmark.parquet")).limit(0)
+    nothing.write.parquet(str(tmp_path / "benchmark.parquet"))
+    odd = docs.limit(40).unionByName(docs.limit(5)).unionByName(docs.limit(5).selectExpr("CAST(NULL AS LONG) AS doc_id", "text", "lang", "source", "n_chars"))
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["decontamination"](spark, odd, str(tmp_path))
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, odd.collect()))
+    stay = stages["near dedup"](spark, odd, str(tmp_path))
+    assert stay.filter("doc_id IS NULL").count() == 5
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd, str(TABLES)).count() >= 0, name

@@ -119,6 +119,39 @@ def test_clean_documents_stay(leaks):
     assert find_passages(docs, benchmark.limit(0)).count() == 0
 
 
+def test_very_long_items(spark):
+    """Items of more words than are fingerprinted at a time, also past 16-bit counts."""
+    rng = random.Random(12)
+    long = [(1, prose(rng, 45_000, 10**6)), (2, prose(rng, 90_000, 10**6))]
+    docs = [(10, prose(rng, 50, 10**6)), (11, "before " + long[0][1] + " behind"), (12, long[1][1])]
+    cut = long[1][1].split()
+    docs += [(13, " ".join(cut[: len(cut) // 2])), (14, long[0][1].replace(" ", " \n", 3))]
+    found = find_passages(frame(spark, docs), spark.createDataFrame(long, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == {(11, 1), (12, 2), (14, 1)}
+
+
+def test_inserted_words_lose_no_passage(spark):
+    """Wherever words are put in, what brute force finds in the whole text is found."""
+    rng = random.Random(13)
+    some = [(i, prose(rng, rng.randrange(30, 60), 50_000)) for i in range(20)]
+    rows = []
+    for d in range(200):
+        passage = rng.choice(some)[1].split()
+        passage.insert(rng.randrange(1, len(passage)), "inserted")
+        if d % 3 == 0:
+            del passage[rng.randrange(len(passage))]
+        rows.append((d, f"{prose(rng, 20, 50_000)} {' '.join(passage)} {prose(rng, 20, 50_000)}"))
+
+    def shingles(text):
+        own = words(lower(text))
+        return {tuple(own[i : i + 5]) for i in range(len(own) - 4)}
+
+    whole = {(d, i) for d, t in rows for i, p in some if len(shingles(p) & shingles(t)) >= 0.8 * len(shingles(p))}
+    found = find_passages(frame(spark, rows), spark.createDataFrame(some, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id) for r in found.collect()}
+    assert got <= whole and len(got) >= 0.97 * len(whole) and len(whole) > 150
+
+
 def test_no_fingerprint_within_the_radius_is_missed():
     """The multi-index against all distances."""
     import numpy as np

@@ -36,9 +36,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Windows of 20 words that begin earlier too are cut out of the texts."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
-    cut = remove_repeats(docs, carry=others)
-    return cut.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    # Under names of their own, since the operator adds columns.
+    own = ("doc_id", "text", "n_chars")
+    others = {c: f"carried_{i}" for i, c in enumerate(docs.columns) if c not in own}
+    cut = remove_repeats(docs.withColumnsRenamed(others), carry=tuple(others.values()))
+    cut = cut.withColumn("n_chars", F.length("text").cast("long"))
+    return cut.select(*(F.col(f"`{others.get(c, c)}`").alias(c) for c in docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ import hashlib
 import heapq
 import json
 from collections.abc import Iterable, Iterator
-from functools import cached_property
+from functools import cached_property, lru_cache
 from itertools import batched
 from typing import Any
 
@@ -32,7 +32,7 @@ from recordlens.llm.batches import id_and_text, slices
 SLICE_BYTES = 4 << 20
 # Bytes that one generation of remembered units, or pieces, may take, and those of an
 # entry besides its contents. What is longer than LONG_UNIT is not remembered.
-REMEMBERED_BYTES = 64 << 20
+REMEMBERED_BYTES = 32 << 20
 ENTRY_BYTES = 320
 LONG_UNIT = 1 << 10
 # Units of a text with special strings that are looked at together.
@@ -370,6 +370,17 @@ def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
     return "".join(parts) + machine.decode(b"", True)
 
 
+@lru_cache(maxsize=1)
+def learned_with(vocabulary_file: str) -> tuple[Vocabulary, Encoder, Recent]:
+    """A vocabulary and what this process has learned with it, for all its tasks.
+
+    The last is of units: their ids as text, each behind a comma, how many, and their bytes.
+    """
+    with open(vocabulary_file, encoding="utf-8") as f:
+        vocabulary = Vocabulary(f.read())
+    return vocabulary, Encoder(vocabulary), Recent()
+
+
 def encode_and_decode(
     docs: DataFrame,
     vocabulary_file: str,
@@ -389,13 +400,9 @@ def encode_and_decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
-        with open(vocabulary_file, encoding="utf-8") as f:
-            vocabulary = Vocabulary(f.read())
-        encoder = Encoder(vocabulary)
+        vocabulary, encoder, known = learned_with(vocabulary_file)
         cut = re.compile(UNIT).findall
         lone_space = re.compile(rf"[^{SPACE}](?= [^{SPACE}])")
-        # Of a unit: its ids as text, each behind a comma, how many, and their bytes.
-        known = Recent()
         token_bytes = vocabulary.bytes_of
 
         def entry(ids: list[int]) -> tuple[bytes, int, bytes]:

@@ -1,7 +1,8 @@
 """Licence scans: sparse TF-IDF cosine to templates, then inheritance along paths.
 
-Every line that could be a notice, and every short file as a whole, is compared with
-notice templates. Weights come from document counts over all files. Files without a
+Every line, and every file as a whole, is compared with notice templates; left out are
+only those that by the weights of their terms cannot come to the threshold. Weights come
+from document counts over all files. Files without a
 notice of their own take the licence of the licence file in the nearest directory
 above them; that is found once per directory, by joins on path prefixes.
 """
@@ -36,12 +37,14 @@ TEMPLATES = (
     ("CC0-1.0", "Dedicated to the public domain under CC0 1.0."),
     ("Unlicense", "Released into the public domain under the Unlicense."),
 )
-# A notice names one of these; every template does.
+# Every template names one of these. The scan does not ask for them, the SQL does.
 TRIGGERS = ("licen", "public domain")
 TERM = r"[^a-z0-9.\-]+"
 THRESHOLD = 0.8
 # A file of at most so many terms that has a notice is a licence file.
 LICENSE_FILE_TERMS = 60
+# By how much a score may fall short of the threshold and still be rounded up to it.
+ROUNDING = 1e-6
 
 
 def terms(text: Column) -> Column:
@@ -50,11 +53,6 @@ def terms(text: Column) -> Column:
     return F.array_distinct(F.filter(cut, lambda t: t != ""))
 
 
-def has_trigger(text: Column) -> Column:
-    low = F.lower(text)
-    return F.contains(low, F.lit(TRIGGERS[0])) | F.contains(low, F.lit(TRIGGERS[1]))
-
-
 def python_terms(text: str) -> list[str]:
     """As ``terms``, for the templates."""
     cut = (t.strip(".-") for t in re.split(TERM, text.lower()))
@@ -82,6 +80,36 @@ def weights(files: DataFrame) -> tuple[dict[str, float], float]:
     return weight, log((1 + total) / 2) + 1
 
 
+def needed_terms(weight: dict[str, float], threshold: float) -> list[str]:
+    """Template terms of which every passage that comes to the threshold has one or more.
+
+    A cosine is at most the root of the share that the common terms have in the squared
+    weights of the template. So of each template these are its heaviest terms, as many as
+    it takes for the others to have too small a share.
+    """
+    least = max(threshold - ROUNDING, 0.0) ** 2
+    needed: set[str] = set()
+    for _, notice in TEMPLATES:
+        own = sorted(python_terms(notice), key=lambda t: (-weight[t], t))
+        squares = [weight[t] ** 2 for t in own]
+        for i, term in enumerate(own):
+            if sum(squares[i:]) < least * sum(squares):
+                break
+            needed.add(term)
+    return sorted(needed)
+
+
+def most_terms(weight: dict[str, float], other: float, threshold: float) -> int:
+    """How many terms a passage that comes to the threshold has at most.
+
+    A cosine is at most the length of the template by that of the passage, in which all
+    but the template terms weigh ``other``.
+    """
+    longest = max(sum(weight[t] ** 2 for t in python_terms(notice)) for _, notice in TEMPLATES)
+    least = max(threshold - ROUNDING, ROUNDING) * other
+    return len(weight) + int(longest / least**2) + 1
+
+
 def best_template(passages: Column, weight: dict[str, float], other: float) -> Column:
     """The best (score, -template) of an array of passages, each an array of terms.
 
@@ -123,17 +151,25 @@ def scan_notices(files: DataFrame, *, threshold: float = THRESHOLD) -> DataFrame
     """The files with license, score and whether each is short; null without a notice."""
     weight, other = weights(files)
     names = F.array(*(F.lit(name) for name, _ in TEMPLATES))
-    lines = F.transform(F.filter(F.split("text", "\n"), has_trigger), terms)
+
+    # A look at the letters first; what it lets pass is compared by its terms.
+    some = "|".join(map(re.escape, needed_terms(weight, threshold)))
+    most = most_terms(weight, other, threshold)
+
+    def could(text: Column) -> Column:
+        return F.lower(text).rlike(f"(?<![a-z0-9])(?:{some})(?![a-z0-9])")
+
     whole = terms(F.col("text"))
-    short = F.size(whole) <= LICENSE_FILE_TERMS
-    passages = F.when(short, F.array_append(lines, whole)).otherwise(lines)
+    lines = F.transform(F.filter(F.split("text", "\n"), could), terms)
+    passages = F.filter(F.array_append(lines, whole), lambda p: F.size(p) <= most)
     return (
         files.withColumn(
             "found",
             F.when(
-                has_trigger(F.col("text")),
+                could(F.col("text")),
                 F.struct(
-                    best_template(passages, weight, other).alias("best"), short.alias("short")
+                    best_template(passages, weight, other).alias("best"),
+                    (F.size(whole) <= LICENSE_FILE_TERMS).alias("short"),
                 ),
             ),
         )

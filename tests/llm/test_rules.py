@@ -1,5 +1,6 @@
 """Quality rules, benchmark passages and licences, against plain definitions."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -8,6 +9,7 @@ import pytest
 
 from recordlens.llm import decontamination, quality_rules
 from recordlens.llm.decontamination import find_passages, without_passages
+from recordlens.llm import licenses
 from recordlens.llm.licenses import TEMPLATES, license_scan
 from recordlens.llm.quality_rules import cleaned_documents, kept_documents, quality_report
 from tests.llm.texts import corpus, frame, lower, prose, words
@@ -212,3 +214,48 @@ def test_every_notice_is_told_from_the_others(spark, name):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     found = license_scan(df.filter("doc_id < 100"), F.lit("x/y")).collect()
     assert {r.license for r in found} == {name}
+
+
+def cosines(texts, passage):
+    """The cosine of a passage with every template, by the plain definition."""
+    files = [set(licenses.python_terms(t)) for t in texts]
+    vocabulary = {t for _, notice in TEMPLATES for t in licenses.python_terms(notice)}
+
+    def weight(term):
+        n = sum(term in f for f in files) if term in vocabulary else 1
+        return math.log((1 + len(files)) / (1 + n)) + 1
+
+    def square(some):
+        return sum(weight(t) ** 2 for t in some)
+
+    own = set(licenses.python_terms(passage))
+    for name, notice in TEMPLATES:
+        its = set(licenses.python_terms(notice))
+        yield round(square(own & its) / math.sqrt((square(own) or 1) * square(its)), 6), name
+
+
+def test_notices_without_the_usual_words(spark):
+    """Whatever words it has, a line or file that is close enough to a template is found."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    texts = [f"{prose(rng, 30)}\nlicensed or released under the {prose(rng, 5)}" for _ in range(60)]
+    texts += [
+        prose(rng, 100) + "\nCC BY 4.0\n" + prose(rng, 100),
+        "CC\nBY-SA\n4.0",
+        "CC0 1.0",
+        prose(rng, 20) + "\nGNU Lesser General Public, version 3",
+        "Mozilla Public 2.0",
+        "mit",
+        "by",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected = []
+    for i, text in enumerate(texts):
+        score, name = max(
+            (c for p in [*text.split("\n"), text] for c in cosines(texts, p)), key=lambda c: c[0]
+        )
+        expected.append((i, name, score) if score >= licenses.THRESHOLD else (i, None, None))
+    found = license_scan(df, F.concat("doc_id", F.lit("/x"))).select("doc_id", "license", "score")
+    assert sorted(map(tuple, found.collect())) == expected
+    assert sum(name is not None for _, name, _ in expected) >= 3

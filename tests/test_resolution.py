@@ -232,3 +232,27 @@ def test_closing_a_report_removes_its_tables(spark, records):
         assert report.n_records == len(records)
         assert set(folder.rglob("*.parquet")) > before
     assert set(folder.rglob("*.parquet")) == before
+
+
+@pytest.mark.parametrize(
+    ("weights", "threshold"), [("default", 0.6), ("default", 0.45), ("phone first", 0.75)]
+)
+def test_matches_per_class_connect_the_same(spark, records, weights, threshold):
+    pipeline = ResolutionPipeline(MatchScorer(WEIGHTS[weights], threshold))
+    df = frame(spark, [*records, {**records[0], "record_id": None}, records[1]])
+    found = pipeline.matches(df, per_class=True)
+    assert found.columns == ["record_id_a", "record_id_b"]
+    every = pipeline.matches(df)
+    ids = {tuple(sorted((r.record_id_a, r.record_id_b))) for r in every.collect()}
+    assert {tuple(r) for r in found.collect()} <= ids
+    expected, got = (
+        sorted(map(tuple, connected_components(df, pairs).collect()), key=repr) for pairs in (every, found)
+    )
+    assert got == expected
+
+
+def test_a_crowd_with_one_email_costs_a_pair_a_record(spark):
+    """Different phones, two spellings of a name: all of them match all others."""
+    rows = [(i, ("anna lee", "anna lea")[i % 2], "a@x", str(i), "oslo") for i in range(400)]
+    found = ResolutionPipeline().matches(spark.createDataFrame(rows, SCHEMA), per_class=True)
+    assert 399 <= found.count() <= 400

@@ -107,3 +107,20 @@ def test_links_that_do_not_hold_leave_no_pair_out(spark, monkeypatch):
         rows += [(2 * i, " ".join(one)), (2 * i + 1, " ".join([*one[:-1], "end"]))]
     found = near_duplicates(frame(spark, rows)).collect()
     assert sorted(map(tuple, found), key=repr) == expected(rows)
+
+
+def test_crowds_that_no_branching_divides_meet_pair_by_pair(spark):
+    """Texts with equal tokens, more than a task takes: every two of them share a node."""
+    from itertools import combinations
+
+    from recordlens.storage import Workspace
+
+    tokens = np.arange(near_dedup.TOKENS, dtype=np.uint32).tobytes()
+    features = spark.createDataFrame([(i, tokens) for i in range(40)], "id long, tokens binary")
+    found = near_dedup.nodes_of(features, Workspace(spark, "test"), trees=1, task_docs=8).collect()
+    nodes = {}
+    for row in found:
+        nodes.setdefault(row.node, set()).add(row.id)
+    met = {pair for ids in nodes.values() for pair in combinations(sorted(ids), 2)}
+    assert met == set(combinations(range(40), 2))
+    assert max(map(len, nodes.values())) < 40

@@ -15,10 +15,12 @@ that holds back an incomplete character and replaces what cannot be completed.
 from __future__ import annotations
 
 import codecs
+import gc
 import hashlib
 import heapq
 import json
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import cached_property, lru_cache
 from itertools import batched
 from typing import Any
@@ -30,9 +32,9 @@ from pyspark.sql import DataFrame
 from recordlens.llm.batches import id_and_text, slices
 
 SLICE_BYTES = 4 << 20
-# Bytes that one generation of remembered units, or pieces, may take, and those of an
+# Bytes that one generation of remembered units may take, and those of an
 # entry besides its contents. What is longer than LONG_UNIT is not remembered.
-REMEMBERED_BYTES = 32 << 20
+REMEMBERED_BYTES = 16 << 20
 ENTRY_BYTES = 320
 LONG_UNIT = 1 << 10
 # Units of a text with special strings that are looked at together.
@@ -84,6 +86,8 @@ class Vocabulary:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of = {i: token for token, i in ids.items()}
         self.bytes_of.update((i, text.encode()) for text, i in self.special.items())
+        # Ids as they are digested.
+        self.numbers = {i: b",%d" % i for i in self.bytes_of}
         self.byte_ids = [ids[bytes([b])] for b in range(256)]
         # Pair of ids, as one number, to the rank of its merge; rank to the merged id.
         self.ranks = {pair_key(ids[u], ids[v]): r for r, (u, v) in enumerate(self.merges)}
@@ -96,6 +100,13 @@ class Vocabulary:
         order = np.argsort(keys)
         return keys[order], np.array(list(self.ranks.values()), np.int32)[order]
 
+    @cached_property
+    def byte_ranks(self) -> np.ndarray:
+        """The rank of two bytes' merge, by both bytes; one past the last where there is none."""
+        ids, none = self.byte_ids, len(self.made)
+        found = [self.ranks.get(pair_key(u, v), none) for u in ids for v in ids]
+        return np.array(found, np.int32).reshape(256, 256)
+
 
 def pair_key(left: int, right: int) -> int:
     """Two ids as one number."""
@@ -169,10 +180,14 @@ def merge_many(pieces: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
     table = np.array(vocabulary.byte_ids, np.int32)
     parts = np.full((len(pieces), width + 1), -1, np.int32)
     inside = np.arange(width + 1) < lengths[:, None]
-    parts[inside] = table[np.frombuffer(b"".join(pieces), np.uint8)]
+    joined = np.frombuffer(b"".join(pieces), np.uint8)
+    parts[inside] = table[joined]
     order = np.full((len(pieces), width), none, np.int32)
-    pair = parts[:, 1:] >= 0
-    order[pair] = rank_of(parts[:, :-1][pair], parts[:, 1:][pair])
+    # Two bytes that follow each other, but not those of two pieces.
+    pair = np.ones(len(joined), bool)
+    pair[np.cumsum(lengths) - 1] = False
+    at = np.flatnonzero(pair)
+    order[parts[:, 1:] >= 0] = vocabulary.byte_ranks[joined[at], joined[at + 1]]
     row_of, column = np.arange(len(pieces)), np.arange(width + 1)
     while len(row_of):
         at = order.argmin(axis=1)
@@ -180,8 +195,11 @@ def merge_many(pieces: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
         least = order[every, at]
         done = least == none
         if done.any():
-            for i in np.flatnonzero(done):
-                out[row_of[i]] = parts[i][parts[i] >= 0].tolist()
+            ended = parts[done]
+            left_over = ended >= 0
+            ids, stops = ended[left_over].tolist(), np.cumsum(left_over.sum(axis=1)).tolist()
+            for i, start, stop in zip(row_of[done].tolist(), [0, *stops], stops):
+                out[i] = ids[start:stop]
             going = ~done
             row_of, parts, order = row_of[going], parts[going], order[going]
             at, least = at[going], least[going]
@@ -266,6 +284,11 @@ class Recent:
         self.n_bytes = 0
         self.long: list[str] = []
 
+    def forget(self) -> None:
+        """Give back the memory of all entries."""
+        self.young, self.old, self.n_bytes = {}, {}, 0
+        self.long.clear()
+
     def missing(self, wanted: set[str]) -> set[str]:
         """Those that are not known; the others are in ``young`` afterwards."""
         for text in self.long:
@@ -275,21 +298,29 @@ class Recent:
             self.old, self.young, self.n_bytes = self.young, {}, 0
         wanted = wanted - self.young.keys()
         again = wanted & self.old.keys()
-        for text in again:
-            self.add(text, self.old.pop(text))
+        self.add_all([(text, self.old.pop(text)) for text in again])
         return wanted - again
 
     def add(self, text: str, made: Any) -> None:
         """Remember it; a long text until the next question only."""
-        self.young[text] = made
-        if len(text) > LONG_UNIT:
-            self.long.append(text)
-        else:
-            self.n_bytes += ENTRY_BYTES + 8 * len(text)
+        self.add_all([(text, made)])
+
+    def add_all(self, found: list[tuple[str, Any]]) -> None:
+        """Remember texts with what was made of them."""
+        self.young.update(found)
+        lengths = [len(text) for text, _ in found]
+        if max(lengths, default=0) > LONG_UNIT:
+            self.long += [text for text, _ in found if len(text) > LONG_UNIT]
+            lengths = [n for n in lengths if n <= LONG_UNIT]
+        self.n_bytes += ENTRY_BYTES * len(lengths) + 8 * sum(lengths)
+
+
+# Ids as text, each behind a comma, how many, and their bytes.
+Entry = tuple[bytes, int, bytes]
 
 
 class Encoder:
-    """Ids of units of text without special strings; remembers pieces it has merged."""
+    """Ids of units of text without special strings; remembers units it has encoded."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         import regex
@@ -302,21 +333,22 @@ class Encoder:
     def lookahead(self) -> int:
         return sufficient_lookahead(self.vocabulary.merges)
 
-    def learn(self, pieces: Iterable[str]) -> None:
-        """Merge the pieces that are new, short ones many at a time."""
-        new = self.known.missing({p for p in pieces if len(p) <= SIDE_BY_SIDE})
+    def entry(self, ids: list[int]) -> Entry:
+        numbers, token_bytes = self.vocabulary.numbers, self.vocabulary.bytes_of
+        return b"".join([numbers[i] for i in ids]), len(ids), b"".join([token_bytes[i] for i in ids])
+
+    def merged(self, pieces: set[str]) -> dict[str, Entry]:
+        """Entries of pieces, of short ones many at a time."""
+        out = {p: self.entry(self.piece(p)) for p in pieces if len(p) > SIDE_BY_SIDE}
         # In order of length, so that the rows of a table are about equally long.
-        short = sorted(new, key=len)
+        short = sorted(pieces - out.keys() if out else pieces, key=len)
         for start in range(0, len(short), ROWS):
             some = short[start : start + ROWS]
             found = merge_many([p.encode("utf-8", "replace") for p in some], self.vocabulary)
-            for piece, ids in zip(some, found):
-                self.known.add(piece, ids)
+            out.update(zip(some, map(self.entry, found)))
+        return out
 
     def piece(self, piece: str) -> list[int]:
-        found = self.known.young.get(piece)
-        if found is not None:
-            return found
         body = piece.encode("utf-8", "replace")
         if len(body) < SHORT_PIECE:
             return merge_all(body, self.vocabulary)
@@ -327,12 +359,28 @@ class Encoder:
     def encode(self, unit: str) -> list[int]:
         return [i for piece in self.pieces(unit) for i in self.piece(piece)]
 
-    def encode_many(self, units: list[str]) -> Iterator[tuple[str, list[int]]]:
-        """Units with their ids."""
-        of_unit = [self.pieces(u) for u in units]
-        self.learn(p for pieces in of_unit for p in pieces)
-        for unit, pieces in zip(units, of_unit):
-            yield unit, [i for piece in pieces for i in self.piece(piece)]
+    def learn(self, units: Iterable[str]) -> None:
+        """Encode the units that are new; all are in ``known.young`` afterwards."""
+        new = self.known.missing(set(units))
+        special = self.vocabulary.special
+        found = [(unit, self.entry([special[unit]])) for unit in new & special.keys()]
+        new -= special.keys()
+        # Letters, also behind a space, are one piece; other units are cut.
+        words = {u for u in new if u.isascii() and (u[1:] if u[0] == " " else u).isalpha()}
+        others = list(new - words)
+        of_unit = list(map(self.pieces, others))
+        pieces = set().union(*of_unit)
+        # A piece alone is cut as it is within a text, so the entry of an equal unit will do.
+        entries = {p: known[p] for known in (self.known.old, self.known.young) for p in pieces & known.keys()}
+        entries |= self.merged(words | (pieces - entries.keys()))
+        found += [(unit, entries[unit]) for unit in words]
+        for unit, own in zip(others, of_unit):
+            if len(own) == 1:
+                found.append((unit, entries[unit]))
+            else:
+                numbers, counts, bodies = zip(*[entries[p] for p in own])
+                found.append((unit, (b"".join(numbers), sum(counts), b"".join(bodies))))
+        self.known.add_all(found)
 
 
 def units(text: str, special: Iterable[str]) -> Iterator[tuple[str, bool]]:
@@ -371,14 +419,28 @@ def decode(ids: Iterable[int], vocabulary: Vocabulary) -> str:
 
 
 @lru_cache(maxsize=1)
-def learned_with(vocabulary_file: str) -> tuple[Vocabulary, Encoder, Recent]:
-    """A vocabulary and what this process has learned with it, for all its tasks.
-
-    The last is of units: their ids as text, each behind a comma, how many, and their bytes.
-    """
+def learned_with(vocabulary_file: str) -> tuple[Vocabulary, Encoder]:
+    """A vocabulary and its encoder, for all tasks of this process."""
     with open(vocabulary_file, encoding="utf-8") as f:
         vocabulary = Vocabulary(f.read())
-    return vocabulary, Encoder(vocabulary), Recent()
+    return vocabulary, Encoder(vocabulary)
+
+
+@contextmanager
+def remembering(known: Recent) -> Iterator[None]:
+    """Entries are kept to the end of the block, as the process may wait for other work.
+
+    Meanwhile nothing searches them for reference cycles: there are none, and going
+    through all entries takes long.
+    """
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        known.forget()
+        if was_on:
+            gc.enable()
 
 
 def encode_and_decode(
@@ -400,22 +462,10 @@ def encode_and_decode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import re
 
-        vocabulary, encoder, known = learned_with(vocabulary_file)
+        vocabulary, encoder = learned_with(vocabulary_file)
+        learn = encoder.learn
         cut = re.compile(UNIT).findall
         lone_space = re.compile(rf"[^{SPACE}](?= [^{SPACE}])")
-        token_bytes = vocabulary.bytes_of
-
-        def entry(ids: list[int]) -> tuple[bytes, int, bytes]:
-            text = "".join([f",{i}" for i in ids]).encode()
-            return text, len(ids), b"".join([token_bytes[i] for i in ids])
-
-        def learn(found: Iterable[str]) -> None:
-            """Encode the units that are new; all are in ``known.young`` afterwards."""
-            new = known.missing(set(found))
-            for unit in new & vocabulary.special.keys():
-                known.add(unit, entry([vocabulary.special[unit]]))
-            for unit, ids in encoder.encode_many(list(new - vocabulary.special.keys())):
-                known.add(unit, entry(ids))
 
         def blocks(text: str) -> Iterator[list[str]]:
             if any(s in text for s in vocabulary.special):
@@ -438,7 +488,10 @@ def encode_and_decode(
             for block in own:
                 if not learned:
                     learn(block)
-                found = [known.young[unit] for unit in block]
+                if not block:
+                    continue
+                young = encoder.known.young
+                found = [young[unit] for unit in block]
                 ids = b"".join([e[0] for e in found])
                 count += sum([e[1] for e in found])
                 id_hash.update(ids[1:] if first else ids)
@@ -449,21 +502,22 @@ def encode_and_decode(
             same = text_hash.digest() == hashlib.sha256(body).digest()
             return count, id_hash.hexdigest(), text_hash.hexdigest(), same
 
-        for part in slices(batches, SLICE_BYTES):
-            bodies = part.column("body").to_pylist()
-            texts = (b.decode("utf-8", "replace") for b in bodies)
-            # The units of short texts are cut once and learned together, which is faster.
-            short = [len(b) < BLOCK_CHARS for b in bodies]
-            own = [list(blocks(t)) if s else blocks(t) for t, s in zip(texts, short)]
-            learn({u for some, s in zip(own, short) if s for block in some for u in block})
-            rows: list = [
-                digest(b, some, True) if s else None for b, some, s in zip(bodies, own, short)
-            ]
-            for i, (body, some) in enumerate(zip(bodies, own)):
-                if rows[i] is None:
-                    rows[i] = digest(body, some, False)
-            out = [part.column("id"), *(pa.array(c) for c in zip(*rows))]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"]
-            yield pa.RecordBatch.from_arrays(out, names=names)
+        with remembering(encoder.known):
+            for part in slices(batches, SLICE_BYTES):
+                bodies = part.column("body").to_pylist()
+                texts = (b.decode("utf-8", "replace") for b in bodies)
+                # The units of short texts are cut once and learned together, which is faster.
+                short = [len(b) < BLOCK_CHARS for b in bodies]
+                own = [list(blocks(t)) if s else blocks(t) for t, s in zip(texts, short)]
+                learn(set().union(*(block for some, s in zip(own, short) if s for block in some)))
+                rows: list = [
+                    digest(b, some, True) if s else None for b, some, s in zip(bodies, own, short)
+                ]
+                for i, (body, some) in enumerate(zip(bodies, own)):
+                    if rows[i] is None:
+                        rows[i] = digest(body, some, False)
+                out = [part.column("id"), *(pa.array(c) for c in zip(*rows))]
+                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "round_trip"]
+                yield pa.RecordBatch.from_arrays(out, names=names)
 
     return id_and_text(docs, id_col, text_col).mapInArrow(run, SCHEMA)

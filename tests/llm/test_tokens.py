@@ -141,3 +141,36 @@ def test_recent_entries_come_in_two_generations(monkeypatch):
         assert len(known.young) + len(known.old) < 40 and sum(len(t) > bpe.LONG_UNIT for t in known.young) == 1
     # What is asked for all the time is made once.
     assert made == len(frequent)
+
+
+def test_pieces_of_known_units_are_not_merged_again(vocabulary, monkeypatch):
+    merged = []
+    real = bpe.merge_many
+
+    def spy(pieces, *rest):
+        merged.extend(pieces)
+        return real(pieces, *rest)
+
+    monkeypatch.setattr(bpe, "merge_many", spy)
+    encoder = bpe.Encoder(vocabulary)
+    encoder.learn([" apple", "<|endoftext|>"])
+    encoder.learn([" apple,", " apple"])
+    assert merged == [b" apple", b","]
+    for unit in (" apple", " apple,"):
+        text, count, body = encoder.known.young[unit]
+        ids = bpe.encode(unit, vocabulary)
+        assert (text, count, body) == ("".join(f",{i}" for i in ids).encode(), len(ids), unit.encode())
+    # What a unit is made of is kept once, as the unit's.
+    assert set(encoder.known.young) == {" apple", " apple,", "<|endoftext|>"}
+
+
+def test_nothing_is_remembered_behind_a_task():
+    import gc
+
+    known = bpe.Recent()
+    with bpe.remembering(known):
+        known.add("word", 1)
+        known.missing({"word"})
+        assert known.young == {"word": 1} and not gc.isenabled()
+    assert gc.isenabled()
+    assert (known.young, known.old, known.n_bytes, known.long) == ({}, {}, 0, [])

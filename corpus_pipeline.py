@@ -50,8 +50,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Encode what is left, and check that decoding gives it back."""
-    return encode_and_decode(docs, tokenizer_file("byte_bpe_50k.json"))
+    """Encode what is left, and check that decoding gives it back.
+
+    A little at a time, as the executors hold what the stages before have left behind.
+    """
+    return encode_and_decode(docs, tokenizer_file("byte_bpe_50k.json"), slice_bytes=1 << 20)
 
 
 STAGES = [

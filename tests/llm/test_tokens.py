@@ -174,3 +174,10 @@ def test_nothing_is_remembered_behind_a_task():
         assert known.young == {"word": 1} and not gc.isenabled()
     assert gc.isenabled()
     assert (known.young, known.old, known.n_bytes, known.long) == ({}, {}, 0, [])
+
+
+def test_slices_do_not_change_results(spark):
+    df = frame(spark, rows())
+    file = tokenizer_file("byte_bpe_50k.json")
+    whole, single = (bpe.encode_and_decode(df, file, slice_bytes=n).collect() for n in (4 << 20, 1))
+    assert sorted(map(tuple, whole), key=repr) == sorted(map(tuple, single), key=repr)

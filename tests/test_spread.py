@@ -56,6 +56,25 @@ def test_large_groups_spread_over_tasks(spark, monkeypatch):
     assert len(per_task) == 4
 
 
+def test_tiles_hold_each_slice_on_one_side(spark, monkeypatch):
+    """Two slices meet as sides, so their rows do not meet those of their own slice there."""
+    monkeypatch.setattr(spread, "TILE_ROWS", 50)
+    # Twice the same order and none are no pairs, whichever slices they are in.
+    orders = [*range(300), *range(20), *[None] * 20]
+    rows = spark.createDataFrame([(i, "x") for i in orders], "id long, key string")
+    joined, a, b = spread.pairs_within(rows, ["key"], "id", lambda a, b: F.lit(True))
+    plan = joined._jdf.queryExecution().analyzed().toString()
+    assert "slice#" in plan and all(
+        any(f"Filter (slice#" in line and f"= {end}_slice#" in line for line in plan.splitlines())
+        for end in ("low", "high")
+    )
+    found = sorted(tuple(r) for r in joined.select(a("id"), b("id")).collect())
+    known = [i for i in orders if i is not None]
+    assert found == sorted(
+        (min(x, y), max(x, y)) for n, x in enumerate(known) for y in known[:n] if x != y
+    )
+
+
 def test_wide_keys_are_not_broadcast_and_hot_ones_are_split(spark):
     """One key of 9 MB neither gets broadcast nor keeps the hot key from being split."""
     rows = spark.range(2000).selectExpr(

@@ -74,6 +74,25 @@ def test_pair_counts_beyond_a_long(spark):
     assert {r["n"]: int(r["p"]) for r in df.collect()} == {n: n * (n - 1) // 2 for n in sizes}
 
 
+def test_rounded_as_spark_rounds(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from recordlens.functions.numeric import rounded
+
+    rng = random.Random(6)
+    values = [a / b for b in range(1, 40) for a in range(-b, 2 * b)]
+    values += [a / 2**k for k in range(5, 24) for a in (1, 3, 5, -7)] + [a / 1e7 for a in range(-30, 30)]
+    values += [rng.uniform(-1, 1) * 10 ** rng.randint(-9, 20) for _ in range(3000)]
+    values += [0.0, -0.0, -1e-9, 1e300, -1e300, float("inf"), -float("inf"), float("nan"), None, 2.5e-7, 1.0000005]
+    rows = spark.createDataFrame([(v,) for v in values], "x double")
+    got = rows.select(rounded(F.col("x"), 6).alias("a"), F.round("x", 6).alias("b")).collect()
+    assert [repr(r.a) for r in got] == [repr(r.b) for r in got]
+    plan = rows.select(rounded(F.col("x"), 6))._jdf.queryExecution().optimizedPlan().toString()
+    assert "rint" in plan.lower()
+
+
 def test_measured_frames_name_their_columns(spark):
     clusters = spark.createDataFrame([(1, 1)], "record_id long, entity_id long")
     truth = spark.createDataFrame([(1, 1)], "record_id long, true_entity_id long")

@@ -127,6 +127,22 @@ def test_candidate_pairs(spark):
     assert sum(r["n_pairs"] for r in sizes.values()) == len(every)
 
 
+@pytest.mark.parametrize("tile", [4000, 3])
+def test_cleaned_once_for_a_record(spark, monkeypatch, tile):
+    """Carried values give the same features, and no pair is trimmed or searched for digits."""
+    monkeypatch.setattr(spread, "TILE_ROWS", tile)
+    df = frame(spark, people(80, seed=5))
+    plain, carried = (
+        compare_pairs(candidate_pairs(df, evidence=MatchScorer(), cleaned=c)) for c in (False, True)
+    )
+    assert carried.columns == plain.columns
+    assert sorted(carried.collect(), key=repr) == sorted(plain.collect(), key=repr)
+    made = ("lower(", "regexp_replace(")
+    for pairs in (carried, ResolutionPipeline().matches(df)):
+        plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+        assert "levenshtein" in plan and not any(m in plan for m in made)
+
+
 def test_trimmed_block_key(spark):
     df = frame(spark, [dict(zip(FIELDS, (i, n, "a@x", "1", "oslo"))) for i, n in enumerate((" bob", "bob"))])
     assert candidate_pairs(df, evidence=()).count() == 0

@@ -75,6 +75,30 @@ def test_tiles_hold_each_slice_on_one_side(spark, monkeypatch):
     )
 
 
+def test_few_values_of_many_rows_are_measured_once(spark, monkeypatch):
+    """Measures of a large group are made of its distinct values, with and without tiles."""
+    rows = spark.createDataFrame(
+        [(i, "x" if i % 9 else None, None if i % 7 == 0 else "ab" * (i % 4)) for i in [*range(240), 5, 5]],
+        "id long, key string, text string",
+    )
+    length = {"total": lambda a, b: F.coalesce(F.length(a("text")) + F.length(b("text")), F.lit(-1))}
+
+    def found(tile):
+        monkeypatch.setattr(spread, "TILE_ROWS", tile)
+        joined, a, b = spread.pairs_within(
+            rows, ["key"], "id", lambda a, b: (a("id") + b("id")) % 3 == 0, alike=["text"], measures=length
+        )
+        pairs = joined.select(a("id").alias("i"), b("id").alias("j"), a("text").alias("x"), b("text").alias("y"), "total")
+        return pairs, sorted(map(tuple, pairs.collect()), key=repr)
+
+    plain, expected = found(4000)
+    tiled, got = found(30)
+    assert got == expected and len(got) > 5000
+    assert all(t == (-1 if None in (x, y) else len(x + y)) and i < j for i, j, x, y, t in got)
+    plans = [p._jdf.queryExecution().optimizedPlan().toString() for p in (plain, tiled)]
+    assert ["collect_list" in p for p in plans] == [False, True]
+
+
 def test_wide_keys_are_not_broadcast_and_hot_ones_are_split(spark):
     """One key of 9 MB neither gets broadcast nor keeps the hot key from being split."""
     rows = spark.range(2000).selectExpr(
